@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from inkmeter import fixed_values as fixed
-from inkmeter.functions.strings import strip, text
+from inkmeter.functions.strings import WHITE, strip, text
 
 LIST_SEPARATOR = "; "
 
@@ -151,10 +151,7 @@ def display_author(column: str = "authors") -> Column:
 
 
 def display_title(column: str = "title") -> Column:
-    return F.regexp_replace(strip(text(column)), rf"[{_WS}]*[\r\n]+[{_WS}]*", ": ")
-
-
-_WS = r"\s\x85  -   　"
+    return F.regexp_replace(strip(text(column)), rf"[{WHITE}]*[\r\n]+[{WHITE}]*", ": ")
 
 
 @F.pandas_udf("string")

@@ -6,8 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Unicode white space and line ends, as regex class bodies
-WHITE = r"\s\x1c-\x1f\x85   -     　"
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+WHITE = r"\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
+# A slice length past any array's end (start + length must stay an int)
+TO_END = 1 << 30
 
 
 def text(column: Column | str) -> Column:
