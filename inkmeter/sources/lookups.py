@@ -35,11 +35,7 @@ def read_manual_works(spark: SparkSession, path: str) -> DataFrame:
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """(work_id, loaded_at) of manually landed works; the stamps are UTC."""
     raw = spark.read.csv(path, header=True, escape='"')
+    stamp = F.concat("loaded_at", F.lit(" +0000"))
     return raw.select(
-        "work_id",
-        F.to_utc_timestamp(
-            F.to_timestamp("loaded_at", "yyyy-MM-dd HH:mm:ss"), F.current_timezone()
-        ).alias("loaded_at")
-        if raw.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC"
-        else F.to_timestamp("loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"),
+        "work_id", F.to_timestamp(stamp, "yyyy-MM-dd HH:mm:ss Z").alias("loaded_at")
     )
