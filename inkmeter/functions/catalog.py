@@ -1,11 +1,11 @@
 """Catalog column builders: scope, genre, dedup keys, authors, flags, labels."""
 
-from __future__ import annotations
-
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from inkmeter import fixed_values as fixed
 from inkmeter.functions.strings import WHITE, strip, text
@@ -154,8 +154,8 @@ def display_title(column: str = "title") -> Column:
     return F.regexp_replace(strip(text(column)), rf"[{WHITE}]*[\r\n]+[{WHITE}]*", ": ")
 
 
-@F.pandas_udf("string")
-def fold_to_ascii(values):  # noqa: ANN001, ANN201 - a pandas Series each way
+@F.pandas_udf(StringType())
+def fold_to_ascii(values: pd.Series) -> pd.Series:
     """Compatibility-decompose and keep the ASCII part; Spark has no normaliser."""
     return values.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
 

@@ -43,3 +43,8 @@ def count_matches(value: Column, pattern: str) -> Column:
 
 def matches_all(value: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(value, F.lit(pattern), F.lit(group))
+
+
+def let(value: Column, use) -> Column:  # noqa: ANN001
+    """``use(value)`` with the value computed once however often it is read."""
+    return F.get(F.transform(F.array(value), use), 0)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from inkmeter import fixed_values as fixed
 from inkmeter.functions.prose import chunk_text, split_paragraphs
-from inkmeter.functions.strings import matches_all, text
+from inkmeter.functions.strings import let, matches_all, text
 
 TOKEN_TYPE = (
     "struct<text:string,stop:boolean,lemma:string,"
@@ -111,8 +111,18 @@ def token_strings(spaced: Column) -> Column:
 
 
 def word_count(value: Column) -> Column:
-    """Alphabetic tokens of a text."""
-    return F.regexp_count(_replace_clitics(value, " "), F.lit(WORD)).cast("bigint")
+    """Alphabetic tokens of a text.
+
+    Only a text with digits or combining marks can hold runs that are not
+    words; the others count letter runs, which is several times cheaper.
+    """
+
+    def count(plain: Column) -> Column:
+        return F.when(
+            plain.rlike(r"[\p{M}\p{N}]"), F.regexp_count(plain, F.lit(WORD))
+        ).otherwise(F.regexp_count(plain, F.lit(r"\p{L}+")))
+
+    return let(let(value, lambda v: _replace_clitics(v, " ")), count).cast("bigint")
 
 
 def quoted_text(value: Column) -> Column:
