@@ -30,7 +30,7 @@ from inkmeter.plans.warehouse import Warehouse, build
 from inkmeter.session import apply_settings
 from inkmeter.sources.catalog import stamp
 from inkmeter.sources.lookups import metric_concepts
-from inkmeter.sources.tables import stage_table
+from inkmeter.sources.tables import spread, stage_table
 
 RUN_TS = "2024-02-01 00:00:00"
 
@@ -156,9 +156,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def portable(spark: SparkSession, sf_dir: str, name: str, **more: DataFrame) -> DataFrame:
     """Run a portable SELECT over the given tables (and derived ones)."""
-    view = {"documents": table(spark, sf_dir, "documents"), **more}
+    view = {"documents": documents(spark, sf_dir), **more}
     query = PORTABLE[name]
     used = {}
     for key, df in view.items():

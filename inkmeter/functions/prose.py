@@ -98,7 +98,7 @@ def split_blocks(value: Column) -> Column:
     """Blank-line separated blocks, empty ones dropped."""
     return F.transform(
         F.filter(F.split(value, r"\n[ \t]*\n"), lambda b: ~is_blank(b)),
-        lambda b: strip(b, r"\n"),
+        lambda b: strip(b, "\n"),
     )
 
 
@@ -149,7 +149,7 @@ def is_front_matter(block: Column, title: Column, author: Column) -> Column:
         lambda n: (F.length(n) >= 4) & (n != "unknown"),
     )
     stripped, squashed = strip(block), squash(block)
-    rows = F.transform(lines(stripped), lambda x: strip(x, r" \t_*"))
+    rows = F.transform(lines(stripped), lambda x: strip(x, " \t_*"))
     echoes = (
         ((F.length(squashed) >= 4) | (squashed == main_title))
         & F.contains(squash(title), squashed)

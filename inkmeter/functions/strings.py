@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # Unicode white space and line ends, as regex class bodies
 WHITE = r"\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
-
+# The same white space as characters
+WHITE_CHARS = "".join(chr(n) for n in range(0x3001) if chr(n).isspace())
 
 # A slice length past any array's end (start + length must stay an int)
 TO_END = 1 << 30
@@ -19,13 +20,13 @@ def text(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def strip(value: Column, chars: str = WHITE) -> Column:
-    """Trim a character class from both ends (SQL ``trim`` knows spaces only)."""
-    return F.regexp_replace(value, rf"\A[{chars}]+|[{chars}]+\z", "")
+def strip(value: Column, chars: str = WHITE_CHARS) -> Column:
+    """Trim a set of characters from both ends; reads the ends only."""
+    return F.trim(value, F.lit(chars))
 
 
-def rstrip(value: Column, chars: str = WHITE) -> Column:
-    return F.regexp_replace(value, rf"[{chars}]+\z", "")
+def rstrip(value: Column, chars: str = WHITE_CHARS) -> Column:
+    return F.rtrim(value, F.lit(chars))
 
 
 def is_blank(value: Column) -> Column:

@@ -12,7 +12,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 class TableMissing(Exception):
@@ -103,5 +102,11 @@ def stage_table(df: DataFrame, folder: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def row_total(df: DataFrame) -> int:
-    return df.agg(F.count(F.lit(1))).first()[0]
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for row-wise work on an input of few splits.
+
+    A small file is one split, however many cores wait; a large input already
+    has more splits than cores and passes as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
