@@ -98,18 +98,18 @@ def ingest_audit(
     run_ts: str, run_type: str, counts: DataFrame, processed: DataFrame
 ) -> DataFrame:
     """One audit row from a diff's counts and a run's outcomes (one row each)."""
-    done = processed.agg(
-        F.count_if(F.col("status") == "ingested").alias("downloaded"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-    )
-    return counts.crossJoin(F.broadcast(done)).select(
+
+    def done(status: str) -> Column:
+        return processed.agg(F.count_if(F.col("status") == status)).scalar()
+
+    return counts.select(
         F.lit(run_ts).cast("timestamp").alias("run_ts"),
         F.lit(run_type).alias("run_type"),
         F.col("roster_size").alias("books_in_catalog"),
         "candidate_new",
         "candidate_changed",
-        "downloaded",
-        "failed",
+        done("ingested").alias("downloaded"),
+        done("failed").alias("failed"),
     )
 
 

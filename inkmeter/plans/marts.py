@@ -47,9 +47,8 @@ def mart_style_long(
     Authors are joined to works first, so the long fact is joined once by
     work, a key with a bounded number of rows.
     """
-    owned = works.select("work_key", "work_id", F.col("author_key").alias("_owner")).alias("w")
-    named = fact.join(owned, "work_key")
-    author_names = authors.select("author_key", F.col("name").alias("author"))
+    names = authors.select("author_key", F.col("name").alias("author"))
+    owned = works.select("work_key", "work_id", "author_key").join(names, "author_key")
     concepts = metrics.select(
         "metric_key",
         F.col("metric_name").alias("concept_name"),
@@ -57,10 +56,11 @@ def mart_style_long(
         "category",
         "is_multivalue",
     )
+    # A fact's author is its work's author, so the work key alone relates them
     joined = (
-        named.drop("_owner")
+        fact.drop("author_key")
         .join(F.broadcast(concepts), "metric_key")
-        .join(author_names, "author_key")
+        .join(owned, "work_key")
     )
     scored = zscore(joined, "value", "metric_name")
     return scored.select(

@@ -174,7 +174,7 @@ def vocab_jaccard(author_terms: DataFrame) -> DataFrame:
     """
     mine = author_terms.filter("is_self = 1").select("term")
     theirs = author_terms.filter("is_self = 0")
-    my_size = mine.agg(F.count(F.lit(1)).alias("my_vocab_size"))
+    my_size = mine.agg(F.count(F.lit(1)).alias("my_vocab_size")).scalar()
     in_mine = mine.distinct().withColumn("_shared", F.lit(1))
     shared = F.col("shared_terms")
     union_size = F.col("my_vocab_size") + F.col("their_vocab_size") - shared
@@ -187,7 +187,7 @@ def vocab_jaccard(author_terms: DataFrame) -> DataFrame:
             F.count("_shared").alias("shared_terms"),
             F.max("loaded_at").alias("loaded_at"),
         )
-        .crossJoin(F.broadcast(my_size))
+        .withColumn("my_vocab_size", my_size)
         .select(
             "author_key",
             "my_vocab_size",
@@ -202,12 +202,12 @@ def vocab_jaccard(author_terms: DataFrame) -> DataFrame:
 def fact_vocab_overlap(overlap: DataFrame, authors: DataFrame) -> DataFrame:
     """One row per (self author, other author).
 
-    The cross join is with the self authors, by definition one row; a second
-    one would show up in the uniqueness check on ``author_key_b``.
+    There is one self author by definition; a second one fans the rows out for
+    the uniqueness check on ``author_key_b`` to find.
     """
-    me = authors.filter("is_self = 1").select(F.col("author_key").alias("author_key_a"))
+    selves = authors.filter("is_self = 1").agg(F.collect_set("author_key")).scalar()
     loaded_date = F.col("loaded_at").cast("date")
-    return overlap.crossJoin(me).select(
+    return overlap.withColumn("author_key_a", F.explode(selves)).select(
         surrogate_key("author_key_a", "author_key").alias("overlap_key"),
         "author_key_a",
         F.col("author_key").alias("author_key_b"),
