@@ -425,10 +425,10 @@ add("zscore_window", zscore_window, _ZSCORE)
 # --- Reports ------------------------------------------------------------------------------------
 
 
-def _report(name, run, sql, *needs, round6=(), text=()):  # noqa: ANN001
+def _report(name, run, sql, *needs, round6=(), text=(), digits=6):  # noqa: ANN001
     def shaped(spark, sf_dir):
         df = run(b.warehouse(spark, sf_dir))
-        df = b.rounded(df, *round6) if round6 else df
+        df = b.rounded(df, *round6, digits=digits) if round6 else df
         return b.as_text(df, *text) if text else df
 
     add(name, shaped, oracle(sql, *needs))
@@ -507,9 +507,10 @@ _report(
 )
 _report(
     "author_sentence_types", reports.author_sentence_types,
-    """SELECT author, series_label AS sentence_type, round(avg(value::DOUBLE), 6) AS proportion FROM mart_style_long
+    # Means of six-decimal values fall on ties at the seventh digit: compare more
+    """SELECT author, series_label AS sentence_type, round(avg(value::DOUBLE), 12) AS proportion FROM mart_style_long
        WHERE concept_name = 'sentence_type_mix' GROUP BY ALL""",
-    "mart_style_long", round6=("proportion",),
+    "mart_style_long", round6=("proportion",), digits=12,
 )
 _report(
     "author_punctuation", reports.author_punctuation,
