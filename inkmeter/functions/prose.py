@@ -24,6 +24,7 @@ from inkmeter.functions.strings import (
     WHITE,
     count_matches,
     is_blank,
+    let,
     lines,
     matches_all,
     rstrip,
@@ -370,10 +371,22 @@ def clean_markdown(
     """Plain prose: the ordered rules, then trimmed; prose punctuation stays."""
     value = unix_newlines(raw)
     for pattern, replacement in rules:
-        value = F.regexp_replace(value, pattern, replacement)
+        value = _apply_rule(value, pattern, replacement)
     return strip(value)
 
 
+def _apply_rule(value: Column, pattern: str, replacement: str) -> Column:
+    """A link needs "](": without one, a text of brackets is not searched for it."""
+    if r"\]\(" not in pattern:
+        return F.regexp_replace(value, pattern, replacement)
+    return let(
+        value,
+        lambda v: F.when(
+            F.contains(v, F.lit("](")), F.regexp_replace(v, pattern, replacement)
+        ).otherwise(v),
+    )
+
+
 # --- Paragraphs and chunks -------------------------------------------------
 
 
