@@ -8,7 +8,7 @@ from inkmeter.functions import prose
 from inkmeter.operators import metrics, prepare
 from inkmeter.operators import tokens as tok
 
-SIZE = 400_000
+SIZE = 60_000
 TEXTS = {
     "one word": "a" * SIZE,
     "no stops": "ab " * (SIZE // 3),
