@@ -178,5 +178,5 @@ def test_chunks_against_brute_force(spark):
 
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     for r in rows.select("t", prose.chunk_text(F.col("t"), 12).alias("v")).collect():
-        want = packed(r.t, 12)
-        assert "\n\n".join(r.v) == "\n\n".join(c for c in want if c or len(want) == 1) or r.v == want, r.t
+        # A chunk of no characters carries nothing and is left out
+        assert r.v == ([c for c in packed(r.t, 12) if c] or [""]), r.t
