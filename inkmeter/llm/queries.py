@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkmeter.llm import exact, near, sharding
+from inkmeter.llm import exact, imatch, importance, mixture, near, sharding
 from inkmeter.llm.staging import table
 
 
@@ -12,19 +12,35 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_exact(table(spark, sf_dir, "documents"))
 
 
+def op2_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.mark_near(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mark_mix(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(table(spark, sf_dir, "documents"), "doc_id")
     return placed.select("doc_id", "slot", "shard")
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return importance.Importance(docs, labels).marked()
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_imatch_fingerprints": op2_imatch_fingerprints,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
+    "op10_importance_resampling": op10_importance_resampling,
 }
 
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -20,6 +20,10 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
+# White space 0, letters and digits (and all bytes beyond ASCII) 1, other signs 2
+KIND = np.full(256, 2, dtype=np.uint8)
+KIND[SPACE] = 0
+KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -99,8 +103,11 @@ def _slices(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
         begin = int(end)
 
 
-def words_of(column: pa.Array, fold: bool = True) -> Words:
-    """Words between white space (space, tab to carriage return) of each row."""
+def words_of(column: pa.Array, fold: bool = True, signs: bool = False) -> Words:
+    """Words between white space (space, tab to carriage return) of each row.
+
+    ``signs`` splits runs of other signs off words, as words of their own.
+    """
     data, bounds = string_bytes(column)
     if fold:
         data = FOLD[data]
@@ -108,12 +115,13 @@ def words_of(column: pa.Array, fold: bool = True) -> Words:
     inner = np.unique(bounds)
     for begin, end in _slices(data, inner):
         part = data[begin:end]
-        word = ~SPACE[part]
+        kind = KIND[part] if signs else ~SPACE[part]
+        word = kind > 0
         cut = inner[np.searchsorted(inner, begin) : np.searchsorted(inner, end)] - begin
-        first = word.copy()
-        first[1:] &= ~word[:-1]
-        last = word.copy()
-        last[:-1] &= ~word[1:]
+        changes = kind[1:] != kind[:-1]
+        first, last = word.copy(), word.copy()
+        first[1:] &= changes
+        last[:-1] &= changes
         if len(cut):  # rows meet without white space between them
             first[cut] = word[cut]
             before = cut[cut > 0] - 1
