@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from inkmeter.llm.bloom import filter_bits, set_bits, with_possible
 from inkmeter.llm.components import components
+from inkmeter.llm.runs import whole_runs
 from inkmeter.llm.shingles import PIECE, feature_batches, row_sums, shingle_sets
 from inkmeter.llm.staging import stage
 from inkmeter.llm.wordhash import mix, pieces
@@ -72,43 +73,6 @@ class Forest:
         return x != y
 
 
-def _runs(
-    batches: Iterator[pa.RecordBatch], keys: list[str]
-) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Batches sorted by keys, cut so that no run of equal keys is torn: rows, run bounds."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
-        new = np.zeros(batch.num_rows, dtype=bool)
-        for c in columns:
-            new[1:] |= c[1:] != c[:-1]
-        new[0] = last is not None and last != tuple(c[0] for c in columns)
-        last = tuple(c[-1] for c in columns)
-        cuts = np.flatnonzero(new)
-        if len(cuts):
-            held.append(batch.slice(0, cuts[-1]))
-            yield _bounded(held, keys)
-            held = [batch.slice(cuts[-1])]
-        else:
-            held.append(batch)
-    if held:
-        yield _bounded(held, keys)
-
-
-def _bounded(held: list[pa.RecordBatch], keys: list[str]) -> tuple[pa.Table, np.ndarray]:
-    rows = pa.Table.from_batches(held).combine_chunks()
-    new = np.ones(rows.num_rows, dtype=bool)
-    if rows.num_rows:
-        new[1:] = False
-        for k in keys:
-            c = rows[k].to_numpy()
-            new[1:] |= c[1:] != c[:-1]
-    return rows, np.append(np.flatnonzero(new), rows.num_rows)
-
-
 def _signatures(rows: pa.Table) -> np.ndarray:
     data = b"".join(rows["signature"].to_pylist())
     return np.frombuffer(data, dtype=np.uint16).reshape(rows.num_rows, -1)
@@ -125,7 +89,7 @@ def likely_links(
     batches: Iterator[pa.RecordBatch], keys: list[str], least: float
 ) -> Iterator[pa.RecordBatch]:
     """For each tile, a spanning forest of the pairs whose signatures agree enough."""
-    for rows, bounds in _runs(batches, keys):
+    for rows, bounds in whole_runs(batches, keys):
         if not rows.num_rows:
             continue
         signature, node = _signatures(rows), rows["node"].to_numpy()
@@ -164,7 +128,7 @@ def confirmed_links(
     batches: Iterator[pa.RecordBatch], keys: list[str], least: float, percent: int
 ) -> Iterator[pa.RecordBatch]:
     """For each tile, a spanning forest of the pairs that are similar on full sets."""
-    for rows, bounds in _runs(batches, keys):
+    for rows, bounds in whole_runs(batches, keys):
         if not rows.num_rows:
             continue
         signature, node = _signatures(rows), rows["node"].to_numpy()

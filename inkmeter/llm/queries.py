@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkmeter.llm import exact, imatch, importance, mixture, near, sharding
+from inkmeter.llm import exact, imatch, importance, mixture, near, ppm, sharding, substring
 from inkmeter.llm.staging import table
 
 
@@ -20,6 +20,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.mark_near(table(spark, sf_dir, "documents"))
 
 
+def op4_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mark_mix(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return importance.Importance(docs, labels).marked()
@@ -38,8 +46,10 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_imatch_fingerprints": op2_imatch_fingerprints,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_ppm_scores": op4_ppm_scores,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_importance_resampling": op10_importance_resampling,
 }
 
