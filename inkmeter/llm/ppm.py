@@ -11,9 +11,10 @@ the shorter one's counts.  As contexts are suffixes of each other, what an
 escape excludes depends on one node only, so each node's sums are worked out
 once and a position needs a lookup or two.
 
-Nodes of order two and up are kept if they hold at least 1 / ``most_nodes`` of
-all training symbols: at most that many a level, however large the corpus, so
-the trie that tasks receive is bounded.  Counts are over all training text.
+Entries of order two and up are kept if they make up at least 1 / ``most_nodes``
+of all training symbols: at most that many a level, however large the corpus,
+so the trie that tasks receive is bounded.  Counts are over all training text,
+and what is left out of a context counts as escaping from it.
 
 The base adds log10((c + 1) / (N + V + 1)) over tokens.  Tokens that make up at
 least 1 / ``most_head`` of the training text, so at most that many, are looked
@@ -40,14 +41,14 @@ from pyspark.sql import functions as F
 from inkmeter.llm.staging import stage
 from inkmeter.llm.wordhash import FOLD, SPACE, Words, pieces, string_bytes, words_of
 
-ORDER = 4
-MOST_NODES = 1 << 20
+ORDER = 5
+MOST_NODES = 1 << 22
 MOST_HEAD = 1 << 17
 END, START = 256, 257
 SYMBOLS = 257
 BITS = 9
 LOG10 = np.log(10.0)
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 PIECE = 4 << 20
 
 
@@ -184,44 +185,52 @@ class Level:
 
 
 class Model:
-    """The trie with every node's sums worked out."""
+    """The trie with every node's sums worked out.
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    ``levels`` has, for each order, the kept entries: key, count, and the total
+    and the number of kinds of the entry's context before any were left out.
+    """
+
+    def __init__(self, levels: list[tuple[np.ndarray, ...]]) -> None:
         self.order = len(levels) - 1
         self.levels: list[Level] = []
         parent: tuple | None = None
-        for order, (key, count) in enumerate(levels):
-            sort = np.argsort(key)
-            key, count = key[sort], count[sort].astype(float)
-            context, back = np.unique(key >> BITS, return_inverse=True)
-            total = np.bincount(back, weights=count, minlength=len(context))
+        for order, columns in enumerate(levels):
+            sort = np.argsort(columns[0])
+            key, count, whole, all_kinds = (c[sort] for c in columns)
+            count = count.astype(float)
+            context, begin, back = np.unique(key >> BITS, return_index=True, return_inverse=True)
+            total, all_kinds = whole[begin].astype(float), all_kinds[begin].astype(float)
+            held = np.bincount(back, weights=count, minlength=len(context))
             kinds = np.bincount(back, minlength=len(context)).astype(float)
+            # What was left out escapes for sure, and every kind speaks for one unseen symbol
+            escape = total - held + all_kinds
             below, fresh = np.zeros(len(context)), np.zeros(len(context))
             if parent is not None and len(key):
-                entries, up_count, nodes, up_total, up_kinds = parent
+                entries, up_count, nodes, up_held, up_escape = parent
                 shorter = (1 << BITS * order) - 1
                 seen = np.bincount(
                     back, weights=up_count[entries.find(key & shorter)], minlength=len(context)
                 )
                 # The context without its oldest symbol
                 up = nodes.find(context & ((1 << BITS * (order - 1)) - 1))
-                below = up_total[up] - seen
-                fresh = up_kinds[up] - kinds
+                below = up_held[up] - seen
+                fresh = up_escape[up] - kinds
             entries, nodes = Lookup(key), Lookup(context)
             with np.errstate(divide="ignore"):
                 self.levels.append(
                     Level(
                         entries,
-                        np.log(count / (total + kinds)[back]),
+                        np.log(count / (total + all_kinds)[back]),
                         np.log(count),
                         nodes,
-                        np.log(kinds / (total + kinds)),
+                        np.log(escape / (total + all_kinds)),
                         np.log(below + fresh),
                         # Where nothing fresh is left the shorter context is passed for sure
                         np.where(fresh > 0, np.log(fresh / np.maximum(below + fresh, 1)), 0.0),
                     )
                 )
-            parent = (entries, count, nodes, total, kinds)
+            parent = (entries, count, nodes, held, escape)
         root = self.levels[0]
         # Symbols the root has not seen share its escape evenly
         self.unseen = -np.log(max(1, SYMBOLS - len(root.entry_count)))
@@ -325,9 +334,19 @@ def train(texts: DataFrame, order: int, most_nodes: int) -> Model:
         if d < order:
             shorter = F.col("key").bitwiseAND(F.lit((1 << BITS * (d + 1)) - 1))
             counts = stage(counts.groupBy(shorter.alias("key")).agg(F.sum("times").alias("times")))
+        context = F.shiftright("key", BITS)
+        nodes = counts.groupBy(context.alias("context")).agg(
+            F.sum("times").alias("total"), F.count("*").alias("kinds")
+        )
         # At most most_nodes rows, and at most 258 * 257 of the lowest two levels
-        kept = counts.where(F.col("times") >= (least if d > 1 else 0)).toArrow()
-        levels.append((kept["key"].to_numpy(), kept["times"].to_numpy()))
+        kept = (
+            counts.where(F.col("times") >= (least if d > 1 else 0))
+            .withColumn("context", context)
+            .join(nodes, "context")
+            .select("key", "times", "total", "kinds")
+            .toArrow()
+        )
+        levels.append(tuple(c.to_numpy() for c in kept.columns))
     return Model(levels[::-1])
 
 
