@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkmeter.llm import exact, imatch, importance, mixture, near, ppm, sharding, substring
+from inkmeter.llm import exact, imatch, importance, mixture, near, pii, ppm, sharding, substring
 from inkmeter.llm.staging import table
 
 
@@ -33,6 +33,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard")
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.mark_personal(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op4_ppm_scores": op4_ppm_scores,
     "op5_mixing": op5_mixing,
     "op7_sharding": op7_sharding,
+    "op8_personal_data": op8_personal_data,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_importance_resampling": op10_importance_resampling,
 }
