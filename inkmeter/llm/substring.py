@@ -11,11 +11,11 @@ a window that starts anywhere else too is removed.  Windows are compared by
 2. A Bloom filter of repeated anchors, of bounded size, is sent to all tasks,
    which emit the windows of possibly repeated anchors, packed by anchor.
 3. Rows of one anchor meet in one task and equal windows are found there.
-   Anchors that hold more than a thousandth of all (of which there can be no
-   thousand) go another way: their windows are counted with map-side combining
-   and joined, which adaptive execution splits.
+   Anchors that stand at more places than fit into a task's memory, told by a
+   second Bloom filter, go another way: their windows are counted with map-side
+   combining and joined, which adaptive execution splits.
 4. The word ranges found return to their documents, which are looked up by a
-   second filter, so that only documents that lose words are shuffled.
+   third filter, so that only documents that lose words are shuffled.
 
 Cases: null text has no words.  A text shorter than a window loses nothing.
 Repeated rows, null ids included, are copies of each other: long enough, both
@@ -43,7 +43,8 @@ GROUP = 8
 # Most windows in one packed row
 PACK = 64
 ANCHOR_BITS = 1 << 26
-HOT_SHARE = 1000
+# An anchor of more places goes the way for many; as packed windows these are some 25 MB
+HOT_PLACES = 200_000
 
 
 def sliding_min(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +218,7 @@ def removed_batches(
             yield pa.record_batch(list(columns.values()), list(columns))
 
 
-def _ranges(rows: DataFrame, window: int, group: int) -> DataFrame:
+def _ranges(rows: DataFrame, window: int, group: int, hot_places: int) -> DataFrame:
     """id, text_hash, first, last: runs of windows that stand elsewhere too."""
     often = stage(
         rows.select("text")
@@ -226,8 +227,7 @@ def _ranges(rows: DataFrame, window: int, group: int) -> DataFrame:
         .agg(F.sum("times").alias("times"))
         .where("times > 1")
     )
-    number, total = often.agg(F.count("*"), F.sum("times")).first()
-    bits = filter_bits(number, ANCHOR_BITS)
+    bits = filter_bits(often.count(), ANCHOR_BITS)
     # At most ANCHOR_BITS / 64 rows reach the driver, 8 MB
     words = (
         often.select("anchor")
@@ -244,15 +244,17 @@ def _ranges(rows: DataFrame, window: int, group: int) -> DataFrame:
             "anchor long, id long, text_hash long, first long, windows array<long>",
         )
     )
-    # Fewer than HOT_SHARE rows
-    hot = F.broadcast(often.where(F.col("times") * HOT_SHARE > (total or 0)).select("anchor"))
+    hot = stage(often.where(F.col("times") > hot_places).select("anchor"))
+    hot_bits = filter_bits(hot.count())
+    dealt = with_possible(packed, ["anchor"], stage(set_bits(hot, ["anchor"], hot_bits)), hot_bits)
     cold = (
-        packed.join(hot, "anchor", "left_anti")
+        dealt.where("NOT possible")
+        .drop("possible")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(repeat_batches, "id long, text_hash long, first long, last long")
     )
-    single = packed.join(hot, "anchor", "left_semi").select(
+    single = dealt.where("possible").select(
         "id", "text_hash", "first", F.posexplode("windows").alias("behind", "window")
     )
     twice = single.groupBy("window").count().where("count > 1").select("window")
@@ -272,6 +274,7 @@ def remove_repeats(
     window: int = WINDOW,
     group: int = GROUP,
     texts: bool = False,
+    hot_places: int = HOT_PLACES,
 ) -> DataFrame:
     """One row per document: key, n_words, n_removed, kept_sha256, and kept_text on request."""
     if window <= group:
@@ -283,7 +286,7 @@ def remove_repeats(
     )
     # Ranges of a document, bounded by its length; copies of a row bring each range several times
     ranges = stage(
-        _ranges(rows, window, group)
+        _ranges(rows, window, group, hot_places)
         .distinct()
         .groupBy("id", "text_hash")
         .agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
