@@ -112,17 +112,26 @@ def bit_batches(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Rec
         )
 
 
+def in_filter(anchor: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether all bits of each anchor are set."""
+    found = np.ones(len(anchor), dtype=bool)
+    for at in anchor_bits(anchor, len(table) * 64):
+        found &= (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+    return found
+
+
 def window_batches(
-    batches: Iterator[pa.RecordBatch], table: np.ndarray, window: int, group: int
+    batches: Iterator[pa.RecordBatch],
+    repeated: np.ndarray,
+    frequent: np.ndarray,
+    window: int,
+    group: int,
 ) -> Iterator[pa.RecordBatch]:
-    """text, id, text_hash -> anchor, id, text_hash, first, windows."""
-    bits = len(table) * 64
+    """text, id, text_hash -> anchor, frequent, id, text_hash, first, windows."""
     for whole in batches:
         for batch in pieces(whole):
             hashes, anchor, _, row, first = windows_of(batch.column(0), window, group)
-            maybe = np.ones(len(anchor), dtype=bool)
-            for at in anchor_bits(anchor, bits):
-                maybe &= (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+            maybe = in_filter(anchor, repeated)
             hashes, anchor, row, first = (x[maybe] for x in (hashes, anchor, row, first))
             new = np.ones(len(anchor), dtype=bool)
             new[1:] = (
@@ -135,6 +144,7 @@ def window_batches(
             yield pa.record_batch(
                 [
                     pa.array(anchor[begin].view(np.int64)),
+                    pa.array(in_filter(anchor[begin], frequent)),
                     batch.column(1).take(where),
                     batch.column(2).take(where),
                     pa.array(first[begin]),
@@ -143,7 +153,7 @@ def window_batches(
                         pa.array(hashes.view(np.int64)),
                     ),
                 ],
-                ["anchor", "id", "text_hash", "first", "windows"],
+                ["anchor", "frequent", "id", "text_hash", "first", "windows"],
             )
 
 
@@ -218,6 +228,21 @@ def removed_batches(
             yield pa.record_batch(list(columns.values()), list(columns))
 
 
+def _filter_of(anchors: DataFrame) -> np.ndarray:
+    """The filter of a table of anchors; at most ANCHOR_BITS / 64 rows, 8 MB, reach the driver."""
+    bits = filter_bits(anchors.count(), ANCHOR_BITS)
+    words = (
+        anchors.select("anchor")
+        .mapInArrow(lambda b: bit_batches(b, bits), "word long, bits long")
+        .groupBy("word")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(bits // 64, dtype=np.uint64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return table
+
+
 def _ranges(rows: DataFrame, window: int, group: int, hot_places: int) -> DataFrame:
     """id, text_hash, first, last: runs of windows that stand elsewhere too."""
     often = stage(
@@ -227,34 +252,22 @@ def _ranges(rows: DataFrame, window: int, group: int, hot_places: int) -> DataFr
         .agg(F.sum("times").alias("times"))
         .where("times > 1")
     )
-    bits = filter_bits(often.count(), ANCHOR_BITS)
-    # At most ANCHOR_BITS / 64 rows reach the driver, 8 MB
-    words = (
-        often.select("anchor")
-        .mapInArrow(lambda b: bit_batches(b, bits), "word long, bits long")
-        .groupBy("word")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
-    table = np.zeros(bits // 64, dtype=np.uint64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    repeated = _filter_of(often)
+    frequent = _filter_of(often.where(F.col("times") > hot_places))
     packed = stage(
         rows.mapInArrow(
-            lambda b: window_batches(b, table, window, group),
-            "anchor long, id long, text_hash long, first long, windows array<long>",
+            lambda b: window_batches(b, repeated, frequent, window, group),
+            "anchor long, frequent boolean, id long, text_hash long, first long, "
+            "windows array<long>",
         )
     )
-    hot = stage(often.where(F.col("times") > hot_places).select("anchor"))
-    hot_bits = filter_bits(hot.count())
-    dealt = with_possible(packed, ["anchor"], stage(set_bits(hot, ["anchor"], hot_bits)), hot_bits)
     cold = (
-        dealt.where("NOT possible")
-        .drop("possible")
+        packed.where("NOT frequent")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(repeat_batches, "id long, text_hash long, first long, last long")
     )
-    single = dealt.where("possible").select(
+    single = packed.where("frequent").select(
         "id", "text_hash", "first", F.posexplode("windows").alias("behind", "window")
     )
     twice = single.groupBy("window").count().where("count > 1").select("window")
