@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkmeter.llm import exact, imatch, importance, mixture, near, pii, ppm, sharding, substring
+from inkmeter.llm import (
+    exact,
+    imatch,
+    importance,
+    mixture,
+    near,
+    pii,
+    ppm,
+    sentence,
+    sharding,
+    substring,
+)
 from inkmeter.llm.staging import table
 
 
@@ -28,6 +39,18 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mark_mix(table(spark, sf_dir, "documents"))
 
 
+def piece_file() -> str:
+    """The public SentencePiece file of this machine; any other path may be given instead."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence.with_ids(docs, path or piece_file(), check=True).drop("text")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(table(spark, sf_dir, "documents"), "doc_id")
     return placed.select("doc_id", "slot", "shard")
@@ -52,6 +75,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_ppm_scores": op4_ppm_scores,
     "op5_mixing": op5_mixing,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_sharding": op7_sharding,
     "op8_personal_data": op8_personal_data,
     "op9_substring_dedup": op9_substring_dedup,

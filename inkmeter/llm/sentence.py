@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,9 @@ from inkmeter.llm.wordhash import pieces as parts_of
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHE = 1 << 18
+CACHE = 1 << 19
 NO_LIMIT = np.int64(1 << 40)
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 8 << 20
 
 
 def _hash(points: np.ndarray) -> np.uint64:
@@ -69,6 +70,7 @@ class Vocabulary:
     byte_ids: np.ndarray
     texts: list[str]  # by id
     byte_of: np.ndarray  # by id, -1 if not a byte piece
+    powers: np.ndarray  # of the base, up to the longest piece
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
@@ -136,16 +138,18 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(
         unigram, plain[0].startswith(MARK), hashes[order], np.array(normal)[order], scores[order],
         np.round(-scores[order]).astype(np.int64), lengths, left, right, usable,
-        int(lengths.max()), byte_ids, texts, byte_of,
+        int(lengths.max()), byte_ids, texts, byte_of, _powers(int(lengths.max())),
     )
 
 
 def stays_apart(v: Vocabulary, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Whether BPE leaves each pair of pieces side by side."""
+    """Whether BPE leaves each pair of pieces side by side; each pair is looked at once."""
+    pair, back = np.unique(first * len(v.hashes) + second, return_inverse=True)
+    first, second = pair // len(v.hashes), pair % len(v.hashes)
     good = np.ones(len(first), dtype=bool)
     open_, a, b = np.arange(len(first)), first.copy(), second.copy()
     limit = np.full(len(first), NO_LIMIT)
-    powers = _powers(v.longest)
+    powers = v.powers
     while len(open_):
         with np.errstate(over="ignore"):
             joint = v.find(v.hashes[a] * powers[v.lengths[b]] + v.hashes[b])
@@ -159,7 +163,7 @@ def stays_apart(v: Vocabulary, first: np.ndarray, second: np.ndarray) -> np.ndar
         undo_a = ~whole_a & (whole_b | (v.ranks[a] > v.ranks[b]))
         limit = np.where(undo_a, v.ranks[a], v.ranks[b] + 1)
         a, b = np.where(undo_a, v.right[a], a), np.where(undo_a, b, v.left[b])
-    return good
+    return good[back]
 
 
 def _powers(n: int) -> np.ndarray:
@@ -170,45 +174,58 @@ def _powers(n: int) -> np.ndarray:
     return out
 
 
-def encode_equal(v: Vocabulary, points: np.ndarray) -> list[list[int]]:
-    """Pieces (numbers, or -1 - sign where no piece is) of units of one length."""
+def encode_equal(v: Vocabulary, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of units of one length, end to end, and how many each unit has."""
     n, length = points.shape
-    powers = _powers(min(length, v.longest))
     sums = np.zeros((length + 1, n), dtype=np.uint64)
-    last = np.full((length + 1, n), -1, dtype=np.int64)
+    last = np.full((length + 1, n), -1, dtype=np.int32)
     back = np.ones((length + 1, n), dtype=np.int32)
     total = np.zeros((length + 1, n))
     with np.errstate(over="ignore"):
         for j in range(1, length + 1):
             sums[j] = sums[j - 1] * BASE + points[:, j - 1].astype(np.uint64) + np.uint64(1)
-            best = np.full(n, -np.inf)
+            # A sign without a piece is always a way on
+            best = total[j - 1] + v.scores.min() - 10 if v.unigram else np.full(n, -np.inf)
             for size in range(1, min(j, v.longest) + 1):
                 i = j - size
-                number = v.find(sums[j] - sums[i] * powers[size])
-                fits = number >= 0
-                fits[fits] = v.usable[number[fits]]
+                number = v.find(sums[j] - sums[i] * v.powers[size])
+                row = np.flatnonzero(number >= 0)
+                number = number[row]
+                fits = v.usable[number]
                 if not v.unigram and i:
-                    check = np.flatnonzero(fits & (last[i] >= 0))
-                    fits[check] = stays_apart(v, last[i][check], number[check])
-                score = np.where(fits, v.scores[number] + total[i] * v.unigram, -np.inf)
-                if size == 1:  # a sign without a piece is always a way on
-                    bare = number < 0
-                    score[bare] = -1e9 + total[i][bare] * v.unigram
-                better = score > best
-                best[better] = score[better]
-                back[j][better] = size
-                last[j][better] = number[better]
+                    check = np.flatnonzero(fits & (last[i][row] >= 0))
+                    fits[check] = stays_apart(
+                        v, last[i][row[check]].astype(np.int64), number[check]
+                    )
+                row, number = row[fits], number[fits]
+                score = v.scores[number] + (total[i][row] if v.unigram else 0.0)
+                better = score > best[row]
+                row, number = row[better], number[better]
+                best[row], back[j][row], last[j][row] = score[better], size, number
             total[j] = best
-    out: list[list[int]] = [[] for _ in range(n)]
+    # Read off from the end, all units a piece at a time
+    rows, places, values = [], [], []
     row, at = np.arange(n), np.full(n, length)
     while len(row):
-        number, size = last[at, row], back[at, row]
-        value = np.where(number >= 0, number, -1 - points[row, at - 1].astype(np.int64))
-        for r, x in zip(row.tolist(), value.tolist(), strict=True):
-            out[r].append(x)
-        at = at - size
+        number = last[at, row]
+        rows.append(row)
+        places.append(at)
+        values.append(
+            np.where(number >= 0, v.ids[number], -1 - points[row, at - 1].astype(np.int64))
+        )
+        at = at - back[at, row]
         row, at = row[at > 0], at[at > 0]
-    return [o[::-1] for o in out]
+    row, value = np.concatenate(rows), np.concatenate(values)
+    order = np.lexsort((np.concatenate(places), row))
+    row, value = row[order], value[order]
+    bare = np.flatnonzero(value < 0)
+    if len(bare):
+        signs = [v.byte_ids[list(chr(-1 - x).encode())] for x in value[bare].tolist()]
+        times = np.ones(len(value), dtype=np.int64)
+        times[bare] = [len(x) for x in signs]
+        row, value = np.repeat(row, times), np.repeat(value, times)
+        value[value < 0] = np.concatenate(signs)
+    return value.astype(np.int32), np.bincount(row, minlength=n)
 
 
 class Encoder:
@@ -220,37 +237,44 @@ class Encoder:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.ids = np.zeros(0, dtype=np.int32)
+        self.counts = np.zeros(0, dtype=np.int64)
 
     def _learn(self, units: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for u in units:
             by_length.setdefault(len(u), []).append(u)
+        ids, counts = [self.ids], [self.counts]
         for length, group in by_length.items():
-            step = max(1, (1 << 16) // length)
+            step = max(1, (1 << 18) // length)
             for at in range(0, len(group), step):
                 block = group[at : at + step]
                 data = "".join(block).encode("utf-32-le", "surrogatepass")
                 points = np.frombuffer(data, dtype=np.uint32).reshape(len(block), length)
-                for unit, numbers in zip(block, encode_equal(self.v, points), strict=True):
-                    ids: list[int] = []
-                    for x in numbers:
-                        if x >= 0:
-                            ids.append(int(self.v.ids[x]))
-                        else:
-                            ids += self.v.byte_ids[list(chr(-1 - x).encode())].tolist()
-                    self.known[unit] = len(self.ids)
-                    self.ids.append(np.array(ids, dtype=np.int32))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+                found, number = encode_equal(self.v, points)
+                ids.append(found)
+                counts.append(number)
+                self.known.update(zip(block, range(len(self.known), len(self.known) + len(block)), strict=True))
+        self.ids, self.counts = np.concatenate(ids), np.concatenate(counts)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, end to end, and how many each text has."""
         lead = MARK if self.v.prefix else ""
         units = [UNIT.findall(lead + t.replace(" ", MARK)) if t else [] for t in texts]
         if len(self.known) > CACHE:
             self.clear()
-        self._learn({u for us in units for u in us} - self.known.keys())
-        empty = np.zeros(0, dtype=np.int32)
-        find, ids = self.known.__getitem__, self.ids
-        return [np.concatenate([ids[k] for k in map(find, us)]) if us else empty for us in units]
+        self._learn(set().union(*units) - self.known.keys())
+        sizes = np.array([len(us) for us in units], dtype=np.int64)
+        number = np.fromiter(
+            map(self.known.__getitem__, chain.from_iterable(units)), np.int64, int(sizes.sum())
+        )
+        counts, ends = self.counts[number], np.cumsum(self.counts)[number]
+        before = np.cumsum(counts) - counts
+        flat = np.arange(int(counts.sum())) + np.repeat(ends - counts - before, counts)
+        per_text = np.bincount(
+            np.repeat(np.arange(len(texts)), sizes), weights=counts, minlength=len(texts)
+        )
+        return self.ids[flat], per_text.astype(np.int64)
 
 
 def decode(v: Vocabulary, ids: np.ndarray) -> str:
@@ -282,20 +306,21 @@ def encode_batches(
             batch = whole.slice(begin, part.num_rows)
             begin += part.num_rows
             texts = part.column(0).to_pylist()
-            ids = encoder.encode(texts)
-            sizes = np.array([len(x) for x in ids], dtype=np.int64)
-            flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
+            flat, sizes = encoder.encode(texts)
+            bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             columns = [
                 *batch.columns,
                 pa.array(sizes),
                 pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
-                    pa.array(flat),
+                    pa.array(bounds), pa.array(flat)
                 ),
             ]
             names = [*whole.schema.names, "n_ids", "ids"]
             if check:
-                same = [decode(v, x) == (t or "").replace(MARK, " ") for x, t in zip(ids, texts, strict=True)]
+                same = [
+                    decode(v, flat[b:e]) == (t or "").replace(MARK, " ")
+                    for b, e, t in zip(bounds[:-1], bounds[1:], texts, strict=True)
+                ]
                 columns.append(pa.array(same, pa.bool_()))
                 names.append("round_trip")
             yield pa.record_batch(columns, names)
