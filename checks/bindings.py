@@ -7,7 +7,6 @@ computed independently: by the library on one side, by SQL on the other.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import cache
 
@@ -30,7 +29,7 @@ from inkmeter.plans.warehouse import Warehouse, build
 from inkmeter.session import apply_settings
 from inkmeter.sources.catalog import stamp
 from inkmeter.sources.lookups import metric_concepts
-from inkmeter.sources.tables import spread, stage_table
+from inkmeter.sources.tables import stage_table
 
 RUN_TS = "2024-02-01 00:00:00"
 
@@ -157,7 +156,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def portable(spark: SparkSession, sf_dir: str, name: str, **more: DataFrame) -> DataFrame:
@@ -247,15 +246,15 @@ def rule_parse(units: DataFrame) -> DataFrame:
 
 
 @cache
-def _run_folder(application_id: str, checkpoint_dir: str | None) -> str:
+def _run_folder(application_id: str, root: str) -> str:
     """One folder per run on storage all executors share."""
-    root = checkpoint_dir or tempfile.mkdtemp(prefix="inkmeter-")
     return f"{root.rstrip('/')}/inkmeter/{application_id}-{uuid.uuid4().hex[:8]}"
 
 
 def run_folder(spark: SparkSession) -> str:
     return _run_folder(
-        spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.applicationId,
+        spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir"),
     )
 
 

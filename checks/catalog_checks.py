@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import bindings as b
@@ -317,12 +319,15 @@ def stale_works(spark, sf_dir):
 @check(oracle(f"""
     SELECT work_id, CAST(loaded_at AS VARCHAR) AS loaded_at FROM {_EARLIER}
     WHERE work_id IN (SELECT work_id FROM corpus) AND work_id NOT IN (SELECT work_id FROM manual_works)
-    UNION ALL SELECT work_id, CAST(loaded_at AS VARCHAR) FROM manual_works""", "corpus", "manual_works"))
+    UNION ALL SELECT work_id, CAST(loaded_at AS VARCHAR) FROM manual_works WHERE is_self = 1""", "corpus", "manual_works"))
 def sync_table(spark, sf_dir):
-    earlier, fresh = _earlier(spark, sf_dir), b.manual_works(spark, sf_dir).select("work_id", "loaded_at")
-    stale = cdc.stale_works(earlier, b.corpus(spark, sf_dir))
-    keys = fresh.select("work_id").union(stale)
-    return b.as_text(tables.replaced(earlier, fresh, keys, "work_id"), "loaded_at")
+    """Guest works are measured again too, but yield no row, so their old rows go."""
+    earlier, todo = _earlier(spark, sf_dir), b.manual_works(spark, sf_dir)
+    fresh = todo.where("is_self = 1").select("work_id", "loaded_at")
+    name = f"inkmeter_checks.sync_{uuid.uuid4().hex}"
+    tables.write_table(earlier, name)
+    tables.sync_table(spark, name, fresh, todo, cdc.stale_works(earlier, b.corpus(spark, sf_dir)))
+    return b.as_text(spark.table(name), "loaded_at")
 
 
 @check("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")

@@ -99,17 +99,19 @@ def ingest_audit(
 ) -> DataFrame:
     """One audit row from a diff's counts and a run's outcomes (one row each)."""
 
-    def done(status: str) -> Column:
-        return processed.agg(F.count_if(F.col("status") == status)).scalar()
-
+    done = processed.agg(
+        F.count_if(F.col("status") == "ingested").alias("downloaded"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+    ).withColumn("_run", F.lit(run_ts))
+    counts = counts.withColumn("_run", F.lit(run_ts)).join(done, "_run")
     return counts.select(
         F.lit(run_ts).cast("timestamp").alias("run_ts"),
         F.lit(run_type).alias("run_type"),
         F.col("roster_size").alias("books_in_catalog"),
         "candidate_new",
         "candidate_changed",
-        done("ingested").alias("downloaded"),
-        done("failed").alias("failed"),
+        "downloaded",
+        "failed",
     )
 
 

@@ -47,7 +47,7 @@ def to_markdown(files: DataFrame, content: str = "content") -> DataFrame:
                 )
             ),
         )
-        .drop("_text", "_rest", "_body", "_blocks", "_described")
+        .select("work_id", "status", "author", "markdown")
     )
 
 

@@ -57,9 +57,7 @@ def text_units(
         documents.filter(F.col("work_id").isNotNull())
         .select(
             F.col("work_id").cast("string").alias("work_id"),
-            F.when(F.length(value) <= max_chars, F.array(value))
-            .otherwise(chunk_text(value, max_chars))
-            .alias("chunks"),
+            chunk_text(value, max_chars).alias("chunks"),
         )
         .withColumn("units", F.size("chunks"))
     )

@@ -18,16 +18,14 @@ def zscore(df: DataFrame, value: str, series: str, into: str = "zscore") -> Data
     """Adds how many population stdevs a value sits from its series' mean.
 
     Aggregates per series (map-side, one row per series and task) and joins
-    the statistics back.  The series names are the registered metrics, so the
-    joined side is bounded by the registry, not by the data; a caller whose
-    ``series`` is open-ended should use ``zscore_window``.
+    the statistics back; at run time their size decides how.
     """
     x = F.col(value).cast("double")
     stats = df.groupBy(F.col(series).alias("_series")).agg(
         F.avg(x).alias("_mean"), F.stddev_pop(x).alias("_spread")
     )
     return (
-        df.join(F.broadcast(stats), F.col(series).eqNullSafe(F.col("_series")), "left")
+        df.join(stats, F.col(series).eqNullSafe(F.col("_series")), "left")
         .withColumn(into, _standardised(x, F.col("_mean"), F.col("_spread")))
         .drop("_series", "_mean", "_spread")
     )
@@ -59,7 +57,7 @@ def mart_style_long(
     # A fact's author is its work's author, so the work key alone relates them
     joined = (
         fact.drop("author_key")
-        .join(F.broadcast(concepts), "metric_key")
+        .join(concepts, "metric_key")
         .join(owned, "work_key")
     )
     scored = zscore(joined, "value", "metric_name")

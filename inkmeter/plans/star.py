@@ -125,9 +125,7 @@ def normalized_measurements(measurements: DataFrame, metrics: DataFrame) -> Data
     A left join: a series without a concept keeps a null key for the not-null
     check to find.
     """
-    concepts = F.broadcast(
-        metrics.select("metric_key", F.col("metric_name").alias("_concept"))
-    )
+    concepts = metrics.select("metric_key", F.col("metric_name").alias("_concept"))
     return (
         measurements.filter(F.col("metric_name") != "word_count")
         .join(concepts, c.concept_of(F.col("metric_name")) == F.col("_concept"), "left")
@@ -202,12 +200,12 @@ def vocab_jaccard(author_terms: DataFrame) -> DataFrame:
 def fact_vocab_overlap(overlap: DataFrame, authors: DataFrame) -> DataFrame:
     """One row per (self author, other author).
 
-    There is one self author by definition; a second one fans the rows out for
-    the uniqueness check on ``author_key_b`` to find.
+    There is one self author by definition; of several, the largest key stands
+    for all.  Without one there is no overlap.
     """
-    selves = authors.filter("is_self = 1").agg(F.collect_set("author_key")).scalar()
+    one = authors.filter("is_self = 1").agg(F.max("author_key")).scalar()
     loaded_date = F.col("loaded_at").cast("date")
-    return overlap.withColumn("author_key_a", F.explode(selves)).select(
+    return overlap.withColumn("author_key_a", one).filter("author_key_a IS NOT NULL").select(
         surrogate_key("author_key_a", "author_key").alias("overlap_key"),
         "author_key_a",
         F.col("author_key").alias("author_key_b"),

@@ -49,6 +49,22 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
     spark.catalog.refreshTable(name)
+    _drop_superseded(spark, location)
+
+
+def _drop_superseded(spark: SparkSession, location: str) -> None:
+    """Remove a table's older versions but the one before, which a job may still read."""
+    jvm = spark.sparkContext._jvm
+    current = jvm.org.apache.hadoop.fs.Path(location)
+    files = current.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = [
+        v
+        for v in files.listStatus(current.getParent())
+        if v.getPath().getName().startswith("version=")
+        and v.getPath().getName() != current.getName()
+    ]
+    for old in sorted(versions, key=lambda v: v.getModificationTime())[:-1]:
+        files.delete(old.getPath(), True)
 
 
 def ensure_table(spark: SparkSession, name: str, schema: str) -> None:
@@ -75,13 +91,22 @@ def replaced(table: DataFrame, rows: DataFrame, keys: DataFrame, column: str) ->
 
 
 def sync_table(
-    spark: SparkSession, name: str, rows: DataFrame, stale: DataFrame, column: str = "work_id"
+    spark: SparkSession,
+    name: str,
+    rows: DataFrame,
+    todo: DataFrame,
+    stale: DataFrame,
+    column: str = "work_id",
 ) -> None:
-    """Swap re-measured works' rows in place, drop stale works, keep the rest."""
+    """Swap re-measured works' rows in place, drop stale works, keep the rest.
+
+    ``todo`` lists the works that were measured again.  One of them without new
+    rows loses its old ones; taking the keys from the new rows would keep them.
+    """
     if not spark.catalog.tableExists(name):
         write_table(rows, name)
         return
-    keys = rows.select(column).union(stale.select(column)).distinct()
+    keys = todo.select(column).union(stale.select(column)).distinct()
     write_table(replaced(spark.table(name), rows, keys, column), name)
 
 
@@ -101,12 +126,3 @@ def stage_table(df: DataFrame, folder: str, *partition_by: str) -> DataFrame:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for row-wise work on an input of few splits.
-
-    A small file is one split, however many cores wait; a large input already
-    has more splits than cores and passes as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -3,6 +3,8 @@
 import contextlib
 import io
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,8 +156,16 @@ def test_tables(spark):
     assert [(r.id, r.v) for r in tables.read_table(spark, "lab.t", ["id", "v"]).collect()] == [(2, "b")]
     tables.delete_where(spark, "lab.t", spark.createDataFrame([], "id bigint"), "id")
     fresh = spark.createDataFrame([(3, "c"), (2, "B")], "id bigint, v string")
-    tables.sync_table(spark, "lab.t", fresh, spark.createDataFrame([], "id bigint"), "id")
+    none = spark.createDataFrame([], "id bigint")
+    tables.sync_table(spark, "lab.t", fresh, fresh.select("id"), none, "id")
     assert {(r.id, r.v) for r in spark.table("lab.t").collect()} == {(2, "B"), (3, "c")}
+    # Measured again without a row: the old row goes
+    tables.sync_table(spark, "lab.t", fresh.where("id = 9"), fresh.where("id = 3"), none, "id")
+    assert [(r.id, r.v) for r in spark.table("lab.t").collect()] == [(2, "B")]
+    for i in range(5):
+        tables.write_table(spark.createDataFrame([(i, "x")], "id bigint, v string"), "lab.t")
+    root = spark.catalog.getDatabase("lab").locationUri.removeprefix("file:")
+    assert sum(n.startswith("version=") for n in os.listdir(f"{root}/t")) == 2
     tables.write_table(spark.createDataFrame([(1.5,)], "x double"), "lab.t")
     assert spark.table("lab.t").columns == ["x"]
 
