@@ -281,12 +281,10 @@ add(
 
 
 def dim_date(spark, sf_dir):
-    """The calendar over the span of the orders, with the orders of each day."""
+    """The library's whole calendar, with the orders of each day."""
     orders = b.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"))
-    span = orders.agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    days = span.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("date_day"))
     counts = orders.groupBy(F.col("day").alias("date_day")).agg(F.count(F.lit(1)).alias("orders"))
-    joined = star.describe_days(days).join(counts, "date_day", "left").fillna(0, ["orders"])
+    joined = star.dim_date(spark).join(counts, "date_day", "left").fillna(0, ["orders"])
     return b.as_text(joined, "date_day")
 
 
@@ -297,7 +295,7 @@ add(
                CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month, CAST(day(d) AS INT) AS day_of_month,
                CAST(dayofweek(d) AS INT) AS day_of_week, CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
                count(o_orderkey) AS orders
-        FROM (SELECT CAST(unnest(generate_series(min(o_orderdate::DATE), max(o_orderdate::DATE), INTERVAL 1 DAY)) AS DATE) AS d FROM orders)
+        FROM (SELECT CAST(unnest(generate_series(DATE '{fixed.CALENDAR_START}', DATE '{fixed.CALENDAR_END}', INTERVAL 1 DAY)) AS DATE) AS d)
         LEFT JOIN orders ON o_orderdate::DATE = d GROUP BY ALL""",
 )
 
@@ -378,10 +376,7 @@ add(
 
 
 def _author_terms(spark, sf_dir):
-    wh = b.warehouse(spark, sf_dir)
-    return star.author_vocabulary(
-        staging.stg_vocab(b.raw_vocab(spark, sf_dir)), wh.dim_work, wh.dim_author
-    )
+    return b.warehouse(spark, sf_dir).author_vocabulary
 
 
 add(

@@ -276,7 +276,8 @@ def deviation(wh: Warehouse, work_id: str | None = None) -> DataFrame:
     if work_id is not None:
         author = style.filter(F.col("work_id") == F.lit(work_id)).select("author_key").distinct()
         of_authors = style.join(author, "author_key", "left_semi")
-    means = of_authors.groupBy("author_key", "metric_key").agg(F.avg("zscore").alias("author_z"))
+    single = of_authors.filter(~F.col("is_multivalue"))
+    means = single.groupBy("author_key", "metric_key").agg(F.avg("zscore").alias("author_z"))
     delta = F.col("zscore") - F.col("author_z")
     return (
         _only(style, "work_id", work_id)

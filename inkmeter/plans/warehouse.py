@@ -14,10 +14,12 @@ from inkmeter.sources.tables import stage_table
 class Warehouse:
     """The dimensions, facts and marts reports read."""
 
+    dim_date: DataFrame
     dim_metric: DataFrame
     dim_author: DataFrame
     dim_work: DataFrame
     fact_style_measurement: DataFrame
+    author_vocabulary: DataFrame
     fact_vocab_overlap: DataFrame
     mart_style_long: DataFrame
     mart_work: DataFrame
@@ -33,16 +35,16 @@ def build(
     raw_measurements: DataFrame,
     raw_vocab: DataFrame,
     concepts: DataFrame,
-    folder: str | None = None,
+    folder: str,
 ) -> Warehouse:
-    """Dimensions, facts and marts; with a folder every one is written there.
+    """Dimensions, facts and marts, each written below ``folder``, which all executors share.
 
     Written tables are what the next step reads: lineage stays one step long
     and a lost executor replays one step.
     """
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        return df if folder is None else stage_table(df, f"{folder}/{name}")
+        return stage_table(df, f"{folder}/{name}")
 
     works = staging.stg_works(raw_works)
     measurements = staging.stg_measurements(raw_measurements)
@@ -66,10 +68,12 @@ def build(
     )
     mart_work = keep(marts.mart_work(dim_work, dim_author, style), "mart_work")
     return Warehouse(
+        dim_date=keep(star.dim_date(concepts.sparkSession), "dim_date"),
         dim_metric=dim_metric,
         dim_author=dim_author,
         dim_work=dim_work,
         fact_style_measurement=fact_style,
+        author_vocabulary=terms,
         fact_vocab_overlap=fact_overlap,
         mart_style_long=style,
         mart_work=mart_work,
