@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +17,20 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+@cache
+def _own_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"{application_id}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
     The cluster names that folder; only where it is unset, as in a test on one
-    machine, a temporary folder becomes the session's own.
+    machine, the session gets a temporary folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="inkmeter-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(
+        spark.sparkContext.applicationId
+    )
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
