@@ -90,12 +90,17 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         [int(c) * budget // total for c in counts.tolist()], dtype=np.int64
     )
     left = budget - int((lengths * taken).sum())
-    window = min(2 * int(lengths.max()), KNAPSACK_WORDS)
+    window = min(8 * int(lengths.max()), KNAPSACK_WORDS)
     order = np.argsort(-lengths, kind="stable")
     for i in order.tolist():
         more = min(int(counts[i] - taken[i]), max(0, left - window) // int(lengths[i]))
         taken[i] += more
         left -= more * int(lengths[i])
+    # Long ones are given back until the program below has enough to choose from
+    for i in order.tolist():
+        back = min(int(taken[i]), -(-max(0, window - left) // int(lengths[i])))
+        taken[i] -= back
+        left += back * int(lengths[i])
     # Sums the remaining documents can reach, a bit each; items are powers of two of a length
     inside = (1 << (left + 1)) - 1
     reach, steps = 1, []
