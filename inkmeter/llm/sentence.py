@@ -39,9 +39,9 @@ from inkmeter.llm.wordhash import pieces as parts_of
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHE = 1 << 19
+CACHE = 1 << 18
 NO_LIMIT = np.int64(1 << 40)
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def _hash(points: np.ndarray) -> np.uint64:
@@ -246,7 +246,7 @@ class Encoder:
             by_length.setdefault(len(u), []).append(u)
         ids, counts = [self.ids], [self.counts]
         for length, group in by_length.items():
-            step = max(1, (1 << 18) // length)
+            step = max(1, (1 << 16) // length)
             for at in range(0, len(group), step):
                 block = group[at : at + step]
                 data = "".join(block).encode("utf-32-le", "surrogatepass")
