@@ -1,20 +1,26 @@
 """Language-model scores: prediction by partial matching over bytes, and a unigram base.
 
-The model is a trie of byte contexts.  Training documents are counted in one
-pass as (context, next symbol) of the full order; shorter contexts follow by
-summing.  A text is its lower-cased words joined by one space, and an end, so
-that the model and the base score the same event.  A symbol is predicted from
-the longest context known; a context that has not seen it escapes to the next
-shorter one.  The escape estimate is the number of distinct symbols the context
-has seen (method C), and symbols seen in the longer context are excluded from
-the shorter one's counts.  As contexts are suffixes of each other, what an
-escape excludes depends on one node only, so each node's sums are worked out
-once and a position needs a lookup or two.
-
-Entries of order two and up are kept if they make up at least 1 / ``most_nodes``
-of all training symbols: at most that many a level, however large the corpus,
-so the trie that tasks receive is bounded.  Counts are over all training text,
-and what is left out of a context counts as escaping from it.
+The model is a trie of byte contexts.  Documents are counted in one pass as
+(context, next symbol) of the full order; shorter contexts follow by summing
+what the training documents hold.  A text is its lower-cased words joined by one
+space, and an end, so that the model and the base score the same event.  A
+symbol is predicted from the longest context known; a context that has not seen
+it escapes to the next shorter one.  The escape estimate is the number of
+distinct symbols the context has seen (method C), and symbols seen in the longer
+context are excluded from the shorter one's counts.
+
+Every context counted is kept, so the model grows with the corpus; it is a table
+for each order and is never gathered.  A position's share depends only on its
+symbol and the full context, so shares are worked out once for each such key
+that any document holds: from its own context's row where training has seen the
+key, and by one join for each shorter order where not.  The keys that make up at
+least 1 / ``most_keys`` of all symbols, hence at most that many, are looked up
+in a broadcast table; the rest are joined with their shares by key.  As those
+are rare, no key of that join is common.
+
+Where ``most_nodes`` is given, entries of order two and up count as unseen
+unless they make up at least 1 / ``most_nodes`` of all training symbols; what is
+left out of a context counts as escaping from it.
 
 The base adds log10((c + 1) / (N + V + 1)) over tokens.  Tokens that make up at
 least 1 / ``most_head`` of the training text, so at most that many, are looked
@@ -31,23 +37,22 @@ names.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmeter.llm.staging import stage
 from inkmeter.llm.wordhash import FOLD, SPACE, Words, pieces, string_bytes, words_of
 
 ORDER = 5
-MOST_NODES = 1 << 22
+MOST_KEYS = 1 << 21
 MOST_HEAD = 1 << 17
 END, START = 256, 257
 SYMBOLS = 257
 BITS = 9
-LOG10 = np.log(10.0)
+LOG10 = float(np.log(10.0))
 FLUSH = 1 << 21
 PIECE = 4 << 20
 
@@ -116,12 +121,18 @@ class Tally:
 
 
 def context_batches(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    """text -> key, times: contexts of the full order with their next symbol."""
+    """text, held_out -> key, times: contexts of the full order with their next symbol.
+
+    The lowest bit of a key tells whether the document was held out.
+    """
     tally = Tally()
     for whole in batches:
         for batch in pieces(whole, PIECE):
             words = words_of(batch.column(0))
-            tally.add(keys_of(symbols_of(batch.column(0), words, order)[0], order)[1])
+            symbols, row = symbols_of(batch.column(0), words, order)
+            at, keys = keys_of(symbols, order)
+            held_out = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            tally.add((keys << 1) | held_out[row[at]])
             yield from tally.take(FLUSH // 2)
     yield from tally.take()
 
@@ -171,104 +182,11 @@ class Lookup:
         return number
 
 
-@dataclass
-class Level:
-    """Entries (context, symbol) and nodes (contexts) of one order."""
-
-    entries: Lookup
-    entry_log: np.ndarray  # log of an entry's share where its node is the first tried
-    entry_count: np.ndarray  # log of its count, for a node that is escaped to
-    nodes: Lookup
-    escape_first: np.ndarray  # log of the escape's share where the node is the first tried
-    below_total: np.ndarray  # log of what the next shorter context has left after exclusion
-    escape_below: np.ndarray  # log of the next shorter context's escape after exclusion
-
-
-class Model:
-    """The trie with every node's sums worked out.
-
-    ``levels`` has, for each order, the kept entries: key, count, and the total
-    and the number of kinds of the entry's context before any were left out.
-    """
-
-    def __init__(self, levels: list[tuple[np.ndarray, ...]]) -> None:
-        self.order = len(levels) - 1
-        self.levels: list[Level] = []
-        parent: tuple | None = None
-        for order, columns in enumerate(levels):
-            sort = np.argsort(columns[0])
-            key, count, whole, all_kinds = (c[sort] for c in columns)
-            count = count.astype(float)
-            context, begin, back = np.unique(key >> BITS, return_index=True, return_inverse=True)
-            total, all_kinds = whole[begin].astype(float), all_kinds[begin].astype(float)
-            held = np.bincount(back, weights=count, minlength=len(context))
-            kinds = np.bincount(back, minlength=len(context)).astype(float)
-            # What was left out escapes for sure, and every kind speaks for one unseen symbol
-            escape = total - held + all_kinds
-            below, fresh = np.zeros(len(context)), np.zeros(len(context))
-            if parent is not None and len(key):
-                entries, up_count, nodes, up_held, up_escape = parent
-                shorter = (1 << BITS * order) - 1
-                seen = np.bincount(
-                    back, weights=up_count[entries.find(key & shorter)], minlength=len(context)
-                )
-                # The context without its oldest symbol
-                up = nodes.find(context & ((1 << BITS * (order - 1)) - 1))
-                below = up_held[up] - seen
-                fresh = up_escape[up] - kinds
-            entries, nodes = Lookup(key), Lookup(context)
-            with np.errstate(divide="ignore"):
-                self.levels.append(
-                    Level(
-                        entries,
-                        np.log(count / (total + all_kinds)[back]),
-                        np.log(count),
-                        nodes,
-                        np.log(escape / (total + all_kinds)),
-                        np.log(below + fresh),
-                        # Where nothing fresh is left the shorter context is passed for sure
-                        np.where(fresh > 0, np.log(fresh / np.maximum(below + fresh, 1)), 0.0),
-                    )
-                )
-            parent = (entries, count, nodes, held, escape)
-        root = self.levels[0]
-        # Symbols the root has not seen share its escape evenly
-        self.unseen = -np.log(max(1, SYMBOLS - len(root.entry_count)))
-
-    def log_shares(self, keys: np.ndarray) -> np.ndarray:
-        """The natural log of each symbol's probability in its context."""
-        out = np.zeros(len(keys))
-        left = np.arange(len(keys))
-        from_level, from_node = np.full(len(keys), -1), np.full(len(keys), -1)
-        for order in range(self.order, -1, -1):
-            level = self.levels[order]
-            key = keys[left] & ((1 << BITS * (order + 1)) - 1)
-            number = level.entries.find(key)
-            known = number >= 0
-            above = from_node >= 0
-            first, later = known & ~above, known & above
-            out[left[first]] += level.entry_log[number[first]]
-            if later.any() or (~known & above).any():
-                high = self.levels[order + 1]
-                out[left[later]] += (
-                    level.entry_count[number[later]] - high.below_total[from_node[later]]
-                )
-                miss = ~known & above
-                out[left[miss]] += high.escape_below[from_node[miss]]
-            left, key, above = left[~known], key[~known], above[~known]
-            node = level.nodes.find(key >> BITS)
-            start = (node >= 0) & ~above
-            out[left[start]] += level.escape_first[node[start]]
-            from_node = node
-            if not len(left):
-                break
-        out[left] += self.unseen
-        return out
-
-
 def score_batches(
     batches: Iterator[pa.RecordBatch],
-    model: Model,
+    order: int,
+    often: Lookup,
+    often_shares: np.ndarray,
     head: Lookup,
     head_logs: np.ndarray,
     end_log: float,
@@ -278,9 +196,13 @@ def score_batches(
         for batch in pieces(whole, PIECE):
             rows = batch.num_rows
             words = words_of(batch.column(0))
-            symbols, row = symbols_of(batch.column(0), words, model.order)
-            at, keys = keys_of(symbols, model.order)
-            score = np.bincount(row[at], weights=model.log_shares(keys), minlength=rows)
+            symbols, row = symbols_of(batch.column(0), words, order)
+            at, keys = keys_of(symbols, order)
+            number = often.find(keys)
+            known = number >= 0
+            score = np.bincount(
+                row[at[known]], weights=often_shares[number[known]], minlength=rows
+            )
             number = head.find(words.hashes.view(np.int64))
             known = number >= 0
             row = np.repeat(np.arange(rows), np.diff(words.rows))[known]
@@ -292,62 +214,170 @@ def score_batches(
                     pa.array(np.diff(words.rows) + 1),
                     pa.array(n_known + int(end_log > 0)),
                     pa.array(base + end_log),
-                    pa.array(score / LOG10),
+                    pa.array(score, pa.float64()),
                 ],
                 ["id", "row_key", "held_out", "n_tokens", "n_known", "base_sum", "score"],
             )
 
 
-def tail_batches(batches: Iterator[pa.RecordBatch], head: Lookup) -> Iterator[pa.RecordBatch]:
-    """text, row_key -> token, row_key, times: words that are not in the head."""
+def counted(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of key and row, and how often each occurs."""
+    order = np.lexsort((key, row))
+    key, row = key[order], row[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+    begin = np.flatnonzero(new)
+    return key[begin], row[begin], np.diff(np.append(begin, len(key)))
+
+
+def tail_batches(
+    batches: Iterator[pa.RecordBatch], order: int, often: Lookup, head: Lookup
+) -> Iterator[pa.RecordBatch]:
+    """text, row_key -> is_word, key, row_key, times: words and symbols in neither table."""
     for whole in batches:
         for batch in pieces(whole, PIECE):
             words = words_of(batch.column(0))
             row = np.repeat(np.arange(batch.num_rows), np.diff(words.rows))
-            rest = head.find(words.hashes.view(np.int64)) < 0
-            token, row = words.hashes[rest], row[rest]
-            order = np.lexsort((token, row))
-            token, row = token[order], row[order]
-            new = np.ones(len(token), dtype=bool)
-            new[1:] = (token[1:] != token[:-1]) | (row[1:] != row[:-1])
-            begin = np.flatnonzero(new)
-            yield pa.record_batch(
-                [
-                    pa.array(token[begin].view(np.int64)),
-                    batch.column(1).take(pa.array(row[begin])),
-                    pa.array(np.diff(np.append(begin, len(token))).astype(np.int32)),
-                ],
-                ["token", "row_key", "times"],
-            )
+            tokens = words.hashes.view(np.int64)
+            symbols, symbol_row = symbols_of(batch.column(0), words, order)
+            at, keys = keys_of(symbols, order)
+            for is_word, key, of, table in (
+                (True, tokens, row, head), (False, keys, symbol_row[at], often)
+            ):
+                rest = table.find(key) < 0
+                key, of, times = counted(key[rest], of[rest])
+                yield pa.record_batch(
+                    [
+                        pa.array(np.full(len(key), is_word)),
+                        pa.array(key),
+                        batch.column(1).take(pa.array(of)),
+                        pa.array(times.astype(np.int32)),
+                    ],
+                    ["is_word", "key", "row_key", "times"],
+                )
+
+
+def _sum(entries: Column) -> Column:
+    return F.aggregate(entries, F.lit(0).cast("long"), lambda n, e: n + e["times"])
+
 
+def _symbols(entries: Column) -> Column:
+    return F.transform(entries, lambda e: e["symbol"])
 
-def train(texts: DataFrame, order: int, most_nodes: int) -> Model:
-    """The model of a table of texts (one column)."""
+
+def _after(missed: DataFrame, nodes: DataFrame, d: int) -> DataFrame:
+    """Keys without a share yet, after the contexts of ``d`` symbols were asked.
+
+    ``log`` is the log of the share so far, ``gone`` the symbols of the longer
+    contexts, ``done`` whether a context had the symbol.
+    """
+    context = F.shiftright("key", BITS).bitwiseAND(F.lit((1 << BITS * d) - 1))
+    # Keys that are done meet no context, and are not gathered where many share one
+    asked = missed.withColumn("at", F.when(F.col("done"), -1 - F.col("key")).otherwise(context))
+    # At most 258 rows of at most 257 symbols of the lowest two levels
+    asked = asked.join(
+        F.broadcast(nodes) if d < 2 else nodes, F.col("at") == F.col("context"), "left"
+    )
+    left = asked.withColumn(
+        "left", F.filter("kept", lambda e: ~F.array_contains(F.col("gone"), e["symbol"]))
+    )
+    symbol = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+    sums = left.withColumn("held", _sum(F.col("left"))).withColumn(
+        # What was left out escapes for sure, and every kind speaks for one unseen symbol
+        "escape",
+        F.col("total") - _sum(F.col("kept")) + F.col("kinds") - F.size("gone"),
+    )
+    found = sums.withColumn(
+        "found", F.get(F.filter("left", lambda e: e["symbol"] == symbol), F.lit(0))["times"]
+    )
+    both = F.col("held") + F.col("escape")
+    share = F.when(F.col("found").isNotNull(), F.col("found") / both).when(
+        F.col("escape") > 0, F.col("escape") / both
+    )
+    return found.select(
+        "key",
+        "seen",
+        (F.col("log") + F.coalesce(F.log(share), F.lit(0.0))).alias("log"),
+        F.coalesce(_symbols(F.col("kept")), F.col("gone")).alias("gone"),
+        (F.col("done") | F.col("found").isNotNull()).alias("done"),
+    )
+
+
+def shares(rows: DataFrame, order: int, most_nodes: int | None = None) -> DataFrame:
+    """key, seen, share: each (context, symbol) of any text of ``rows`` (text, held_out).
+
+    ``seen`` is how often all texts hold it, ``share`` the natural log of its
+    probability in a model of the texts that are not held out.
+    """
     counts = stage(
-        texts.mapInArrow(lambda b: context_batches(b, order), "key long, times long")
-        .groupBy("key")
-        .agg(F.sum("times").alias("times"))
+        rows.mapInArrow(lambda b: context_batches(b, order), "tagged long, times long")
+        .groupBy(F.shiftright("tagged", 1).alias("key"))
+        .agg(
+            F.sum(F.when(F.col("tagged") % 2 == 0, F.col("times")).otherwise(0)).alias("times"),
+            F.sum("times").alias("seen"),
+        )
     )
-    least = (counts.agg(F.sum("times")).first()[0] or 0) / most_nodes
-    levels = []
-    for d in range(order, -1, -1):
-        if d < order:
-            shorter = F.col("key").bitwiseAND(F.lit((1 << BITS * (d + 1)) - 1))
-            counts = stage(counts.groupBy(shorter.alias("key")).agg(F.sum("times").alias("times")))
-        context = F.shiftright("key", BITS)
-        nodes = counts.groupBy(context.alias("context")).agg(
-            F.sum("times").alias("total"), F.count("*").alias("kinds")
+    least = 0.0
+    if most_nodes is not None:
+        least = (counts.agg(F.sum("times")).first()[0] or 0) / most_nodes
+    context = F.shiftright("key", BITS).alias("context")
+    symbol = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("symbol")
+
+    def kept(entries: str, d: int) -> Column:
+        bound = F.lit(least if d > 1 else 0.0)
+        return F.filter(entries, lambda e: (e["times"] > 0) & (e["times"] >= bound))
+
+    # A context has at most 257 symbols
+    whole = (
+        counts.groupBy(context)
+        .agg(
+            F.sum("times").alias("total"),
+            F.count_if(F.col("times") > 0).alias("kinds"),
+            F.collect_list(F.struct(symbol, "times", "seen")).alias("all"),
         )
-        # At most most_nodes rows, and at most 258 * 257 of the lowest two levels
-        kept = (
-            counts.where(F.col("times") >= (least if d > 1 else 0))
-            .withColumn("context", context)
-            .join(nodes, "context")
-            .select("key", "times", "total", "kinds")
-            .toArrow()
+        .withColumn("kept", kept("all", order))
+        .withColumn("symbols", _symbols(F.col("kept")))
+        .withColumn("escape", F.col("total") - _sum(F.col("kept")) + F.col("kinds"))
+        .select("context", "total", "kinds", "symbols", "escape", F.explode("all").alias("e"))
+    )
+    done = F.array_contains("symbols", F.col("e.symbol"))
+    both = F.col("total") + F.col("kinds")
+    share = F.when(done, F.col("e.times") / both).when(
+        F.size("symbols") > 0, F.col("escape") / both
+    )
+    first = stage(
+        whole.select(
+            F.shiftleft("context", BITS).bitwiseOR(F.col("e.symbol").cast("long")).alias("key"),
+            F.col("e.seen").alias("seen"),
+            F.coalesce(F.log(share), F.lit(0.0)).alias("log"),
+            F.when(~done, F.col("symbols")).alias("gone"),
+            done.alias("done"),
         )
-        levels.append(tuple(c.to_numpy() for c in kept.columns))
-    return Model(levels[::-1])
+    )
+    missed = first.where("NOT done")
+    counts = counts.where("times > 0")
+    for d in range(order - 1, -1, -1):
+        shorter = F.col("key").bitwiseAND(F.lit((1 << BITS * (d + 1)) - 1))
+        counts = stage(counts.groupBy(shorter.alias("key")).agg(F.sum("times").alias("times")))
+        nodes = (
+            counts.groupBy(context)
+            .agg(
+                F.sum("times").alias("total"),
+                F.count("*").alias("kinds"),
+                F.collect_list(F.struct(symbol, "times")).alias("all"),
+            )
+            .select("context", "total", "kinds", kept("all", d).alias("kept"))
+            .where(F.size("kept") > 0)
+        )
+        missed = _after(missed, nodes, d)
+    # Symbols the root has not seen share its escape evenly
+    unseen = -F.log(F.greatest(F.lit(1), SYMBOLS - F.size("gone")).cast("double"))
+    log = F.col("log") + F.when(F.col("done"), 0.0).otherwise(unseen)
+    return stage(
+        first.where("done")
+        .select("key", "seen", F.col("log").alias("share"))
+        .unionAll(missed.select("key", "seen", log.alias("share")))
+    )
 
 
 def score(
@@ -355,10 +385,11 @@ def score(
     key: str = "doc_id",
     text: str = "text",
     order: int = ORDER,
-    most_nodes: int = MOST_NODES,
+    most_nodes: int | None = None,
     most_head: int = MOST_HEAD,
     folds: int = 7,
     held: int = 2,
+    most_keys: int = MOST_KEYS,
 ) -> DataFrame:
     """One row per document: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -370,7 +401,13 @@ def score(
         (F.crc32(name) % folds == held).alias("held_out"),
     )
     learning = rows.where("NOT held_out").select("text")
-    model = spark.sparkContext.broadcast(train(learning, order, most_nodes))
+    known = shares(rows.select("text", "held_out"), order, most_nodes)
+    symbols = known.agg(F.sum("seen")).first()[0] or 0
+    # At most most_keys rows
+    often = known.where(F.col("seen") * most_keys >= symbols).select("key", "share").toArrow()
+    trie = spark.sparkContext.broadcast(
+        (Lookup(often["key"].to_numpy()), often["share"].to_numpy())
+    )
     vocabulary = stage(
         learning.mapInArrow(token_batches, "key long, times long")
         .groupBy("key")
@@ -388,30 +425,41 @@ def score(
     end_log = float(np.log10(texts + 1.0))
     scored = stage(
         rows.mapInArrow(
-            lambda b: score_batches(b, model.value, *head.value, end_log),
+            lambda b: score_batches(b, order, *trie.value, *head.value, end_log),
             "id long, row_key long, held_out boolean, n_tokens long, n_known long, "
             "base_sum double, score double",
         )
     )
     tail = rows.select("text", "row_key").mapInArrow(
-        lambda b: tail_batches(b, head.value[0]), "token long, row_key long, times int"
+        lambda b: tail_batches(b, order, trie.value[0], head.value[0]),
+        "is_word boolean, key long, row_key long, times int",
+    )
+    values = vocabulary.select(
+        F.lit(True).alias("is_word"), "key", F.log10(F.col("times") + 1).alias("value")
+    ).unionAll(
+        known.where(F.col("seen") * most_keys < symbols).select(
+            F.lit(False).alias("is_word"), "key", F.col("share").alias("value")
+        )
     )
+    product = F.col("times") * F.col("value")
     found = (
-        tail.join(vocabulary.select(F.col("key").alias("token"), F.col("times").alias("c")), "token")
+        tail.join(values, ["is_word", "key"])
         .groupBy("row_key")
         .agg(
-            F.sum("times").alias("tail_known"),
-            F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("tail_sum"),
+            F.sum(F.when(F.col("is_word"), F.col("times")).otherwise(0)).alias("tail_known"),
+            F.sum(F.when(F.col("is_word"), product).otherwise(0.0)).alias("tail_sum"),
+            F.sum(F.when(F.col("is_word"), 0.0).otherwise(product)).alias("tail_score"),
         )
     )
     # Repeated rows each sent their words
     alike = scored.groupBy("row_key").agg(F.count("*").alias("rows"))
-    shares = found.join(alike, "row_key").select(
+    of_row = found.join(alike, "row_key").select(
         "row_key",
         (F.col("tail_known") / F.col("rows")).cast("long").alias("tail_known"),
         (F.col("tail_sum") / F.col("rows")).alias("tail_sum"),
+        (F.col("tail_score") / F.col("rows")).alias("tail_score"),
     )
-    return scored.join(shares, "row_key", "left").select(
+    return scored.join(of_row, "row_key", "left").select(
         F.col("id").alias(key),
         "held_out",
         "n_tokens",
@@ -422,5 +470,5 @@ def score(
             + F.coalesce("tail_sum", F.lit(0.0))
             - F.col("n_tokens") * float(np.log10(total + size + 1))
         ).alias("base_score"),
-        "score",
+        ((F.col("score") + F.coalesce("tail_score", F.lit(0.0))) / LOG10).alias("score"),
     )

@@ -131,6 +131,20 @@ def test_scores_equal_brute_force(docs, empty, most_nodes):
     assert ppm.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("most_keys", [1, 1 << 21])
+def test_rare_contexts_are_known_in_a_large_corpus(spark, most_keys):
+    """One occurrence in more than 4,194,304 training symbols counts, on either way to its share."""
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(100)]
+    taught, asked = held.index(False, 60), held.index(True, 60)
+    rows = [(i, "tick " * 20000) for i in range(60)] + [(taught, "quack zebra"), (asked, "Quack zebra")]
+    # The long texts share with the short ones the beginning only
+    short = ["tick tick" if i < 60 else t for i, t in rows if not held[i]]
+    score, _ = brute_ppm(short, ppm.ORDER, 1 << 60)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.score for r in ppm.score(df, most_keys=most_keys).collect()}
+    assert got[asked] == got[taught] == pytest.approx(score("quack zebra"), rel=1e-9)
+
+
 def brute_targets(sizes):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
