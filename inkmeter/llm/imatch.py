@@ -5,8 +5,9 @@ band of inverse document frequency: those in more than ``common`` of all
 documents say little, those in less than ``rare`` of them are mostly noise.
 Both ends are shares of the corpus, so the lexicon is bounded: a term of it is
 in at least a share of all documents, hence there are at most (distinct terms
-of a mean document) / rare of them, however large the corpus; where even that
-passes ``most_terms``, the rare end is raised until it does not.  The lexicon
+of a mean document) / rare of them, however large the corpus.  Only where the
+band really holds more than ``most_terms``, the rare end is raised until it does
+not, but never beyond the most frequent terms of the band.  The lexicon
 is a hash table inside the plan, so fingerprinting a row moves nothing.
 
 Each of several randomised lexicons is a series of nested random subsets of the
@@ -61,13 +62,21 @@ def lexicon(
         .agg(F.count("*").alias("documents"))
     )
     rows = docs.count()
-    total = often.agg(F.sum("documents")).first()[0] or 0
-    # Terms of at least this frequency are at most most_terms: theirs add up to the total
-    least = max(rare * rows, total / most_terms)
     band = often.where(
-        (F.col("documents") >= math.ceil(least))
+        (F.col("documents") >= math.ceil(rare * rows))
         & (F.col("documents") <= max(1, math.floor(common * rows)))
     )
+    if band.count() > most_terms:
+        # One row for each frequency in the band
+        sizes = band.groupBy("documents").agg(F.count("*").alias("terms")).collect()
+        sizes = sorted(((r["documents"], r["terms"]) for r in sizes), reverse=True)
+        least, held = sizes[0]
+        for documents, count in sizes[1:]:
+            held += count
+            if held > most_terms:
+                break
+            least = documents
+        band = band.where(F.col("documents") >= least)
     return [r["term"] for r in band.select("term").collect()]
 
 

@@ -53,6 +53,23 @@ def test_fingerprints_of_texts_and_edits(docs, empty):
     assert imatch.fingerprint_edits(empty).count() == 0
 
 
+def test_lexicon_is_the_whole_band_where_it_fits(spark):
+    def words(i):
+        pairs = [f"pair{i // 2}x{j}" for j in range(10)]
+        tens = [f"ten{i // 10}x{j}" for j in range(2)]
+        return " ".join(pairs + tens + [f"own{i}x{j}" for j in range(50)])
+
+    df = spark.createDataFrame([(i, words(i)) for i in range(100)], "doc_id long, text string")
+
+    def size(most_terms):
+        return len(set(imatch.lexicon(df, common=0.5, rare=0.02, most_terms=most_terms)))
+
+    # 500 terms are in two documents, 20 in ten; what is rarer than the band counts for nothing
+    assert size(1000) == size(520) == 520
+    assert size(519) == size(20) == 20
+    assert size(10) == 20
+
+
 def test_ranges_find_every_neighbour(spark):
     df = spark.createDataFrame([(i * i, str(i)) for i in range(200)], "doc_id long, text string")
     for ranges in (2, 7, 64):
