@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from inkmeter.llm import (
     exact,
     imatch,
     importance,
+    langid,
+    mining,
     mixture,
     near,
     pii,
@@ -15,6 +18,7 @@ from inkmeter.llm import (
     sentence,
     sharding,
     substring,
+    variants,
 )
 from inkmeter.llm.staging import table
 
@@ -69,6 +73,20 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.Importance(docs, labels).marked()
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_imatch_fingerprints": op2_imatch_fingerprints,
@@ -80,6 +98,9 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_language_id": op12_language_id,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -90,4 +111,26 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+                   list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE alike
+            QUALIFY row_number() OVER (
+                PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id,
+               (row_number() OVER (PARTITION BY anchor_id, positive_id
+                                   ORDER BY score DESC, other_id))::INT AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT alike AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+        QUALIFY rank <= 10""",
 }
