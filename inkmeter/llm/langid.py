@@ -13,8 +13,8 @@ priors the score.
 What is fitted is bounded, whatever the size of the input: ``SAMPLE_ROWS``
 whole documents a language, those of the smallest hashed id, and ``MOST_NODES``
 counts in all; where the sample holds more, the least frequent ones of every
-order go together.  The trees go to the driver and are broadcast; rows move
-nowhere.  Everything else covers all rows.
+order go together.  A task builds each tree; the trees go to the driver
+and are broadcast.  Rows outside the sample move nowhere.  Everything else covers all rows.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0, as is
 every text if nothing could be learned; an empty language value is a value; a
@@ -26,6 +26,7 @@ table gives no rows; other columns are not read.  Texts are walked in slices of
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -114,9 +115,16 @@ def sample(
         F.col(lang).cast("string").alias("lang"),
         F.xxhash64(F.col(doc_id)).alias("place"),
     )
-    ranks = Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))
+    # A share of each language that holds its sample by a wide margin; the rest stays put
+    sizes = stage(learned.groupBy("lang").agg(F.count(F.lit(1)).alias("of_lang")))
+    share = F.pmod(F.col("place"), F.lit(1 << 30)) * F.col("of_lang") / float(1 << 30)
+    ranks = Window.partitionBy("lang").orderBy(
+        F.pmod(F.col("place"), F.lit(1 << 30)), "place", F.xxhash64("text")
+    )
     return (
-        learned.withColumn("rank", F.row_number().over(ranks))
+        learned.join(sizes, "lang")
+        .where(share < 1.5 * rows + 64)
+        .withColumn("rank", F.row_number().over(ranks))
         .where(F.col("rank") <= rows)
         .select("text", "lang")
     )
@@ -218,20 +226,24 @@ def fit(labelled: DataFrame, most_nodes: int = MOST_NODES) -> dict[str, Tree]:
         if room < 0:
             break
         least = row["n"]
-    kept = nodes.where(F.col("n") >= least).orderBy("lang", "gram_order", "code").toPandas()
-    trees = {}
-    for name, mine in kept.groupby("lang", sort=True):
-        counts = []
-        for order in range(ORDER + 1):
-            part = mine[mine["gram_order"] == order]
-            counts.append(
-                (
-                    part["code"].to_numpy(np.int64).view(np.uint64),
-                    part["n"].to_numpy(np.float64),
-                )
-            )
-        trees[str(name)] = Tree(counts)
-    return trees
+    kept = nodes.where(F.col("n") >= least).groupBy("lang")
+    return {
+        r["lang"]: pickle.loads(r["tree"])  # written by the tasks of this very job
+        for r in kept.applyInArrow(_planted, "lang string, tree binary").collect()
+    }
+
+
+def _planted(nodes: pa.Table) -> pa.Table:
+    """The tree of one language, of at most ``most_nodes`` counts."""
+    order = nodes["gram_order"].to_numpy()
+    code, n = nodes["code"].to_numpy().view(np.uint64), nodes["n"].to_numpy().astype(float)
+    counts = []
+    for k in range(ORDER + 1):
+        mine = np.flatnonzero(order == k)
+        mine = mine[np.argsort(code[mine])]
+        counts.append((code[mine], n[mine]))
+    tree = pa.array([pickle.dumps(Tree(counts))], pa.binary())
+    return pa.table({"lang": nodes["lang"].slice(0, 1).combine_chunks(), "tree": tree})
 
 
 def lengths_of(column: pa.Array, trees: list[Tree]) -> np.ndarray:
