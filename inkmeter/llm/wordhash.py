@@ -2,8 +2,10 @@
 
 A batch's bytes are walked in slices of about a megabyte, cut where a document
 ends or at white space, so memory does not follow the longest text.  A word's
-hash is the sum of its bytes times powers of an odd base, taken from running
-sums and mixed; equal words have equal hashes wherever they stand.
+hash is taken over blocks of eight bytes, each mixed and weighted with random
+numbers of its place in the word; equal words have equal hashes wherever they
+stand.  A polynomial of the bytes modulo 2**64 would not do: there are pairs of
+words that collide for every base.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import pyarrow as pa
 
 SLICE = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
+SEED = np.uint64(0xD1B54A32D192ED03)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 FOLD = np.arange(256, dtype=np.uint8)
@@ -34,30 +37,41 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    base, inverse = int(BASE), pow(int(BASE), -1, 1 << 64)
-    out = []
-    for b in (base, inverse):
-        power = np.ones(n, dtype=np.uint64)
-        filled = 1
-        with np.errstate(over="ignore"):
-            while filled < n:
-                more = min(filled, n - filled)
-                power[filled : filled + more] = power[:more] * np.uint64(pow(b, filled, 1 << 64))
-                filled += more
-        out.append(power)
-    return out[0], out[1]
+def weights(begin: int, end: int) -> np.ndarray:
+    """Random odd numbers of the places begin to end, the same in every process."""
+    with np.errstate(over="ignore"):
+        places = np.arange(begin + 1, end + 1, dtype=np.uint64) * BASE
+    return mix(places + SEED) | np.uint64(1)
 
 
-_POWERS = _powers(SLICE + 1)
+BLOCK = 8
+FEW = 64  # blocks of words that are hashed side by side
+_WEIGHTS = weights(0, 2 * FEW)
+#: Bytes of a block that belong to a word with 0 to 8 bytes left
+_LEFT = np.array([(1 << (8 * k)) - 1 for k in range(BLOCK + 1)], dtype=np.uint64)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POWERS
-    if len(_POWERS[0]) < n:  # a single word longer than a slice
-        _POWERS = _powers(n)
-    return _POWERS
+def _word_hashes(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    padded = np.append(part, np.zeros(BLOCK, dtype=np.uint8))
+    blocks = np.ndarray(len(part) + 1, dtype="<u8", buffer=padded.data, strides=(1,))
+    left = ends - starts
+    out = left.astype(np.uint64)
+    active = np.flatnonzero(left <= FEW * BLOCK)
+    at, left = starts[active], left[active]
+    with np.errstate(over="ignore"):
+        for k in range(FEW):
+            if not len(active):
+                break
+            block = blocks[at] & _LEFT[np.minimum(left, BLOCK)]
+            out[active] += mix(block + _WEIGHTS[2 * k]) * _WEIGHTS[2 * k + 1]
+            more = left > BLOCK
+            active, at, left = active[more], at[more] + BLOCK, left[more] - BLOCK
+        for word in np.flatnonzero(ends - starts > FEW * BLOCK):
+            places = np.arange(starts[word], ends[word], BLOCK)
+            block = blocks[places] & _LEFT[np.minimum(ends[word] - places, BLOCK)]
+            weight = weights(0, 2 * len(places))
+            out[word] += (mix(block + weight[::2]) * weight[1::2]).sum(dtype=np.uint64)
+    return mix(out)
 
 
 def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -127,12 +141,7 @@ def words_of(column: pa.Array, fold: bool = True, signs: bool = False) -> Words:
             before = cut[cut > 0] - 1
             last[before] = word[before]
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-        power, inverse = powers(len(part) + 1)
-        with np.errstate(over="ignore"):
-            sums = np.zeros(len(part) + 1, dtype=np.uint64)
-            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=sums[1:])
-            raw = (sums[e] - sums[s]) * inverse[s]
-        hashes.append(mix(raw))
+        hashes.append(_word_hashes(part, s, e))
         starts.append(s + begin)
         ends.append(e + begin)
     empty = np.zeros(0, dtype=np.int64)
@@ -149,11 +158,10 @@ def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
     """A hash for each n neighbouring words; rows must not be crossed by the caller."""
     if len(hashes) < n:
         return np.zeros(0, dtype=np.uint64)
-    base = int(BASE)
     with np.errstate(over="ignore"):
         total = np.zeros(len(hashes) - n + 1, dtype=np.uint64)
-        for i in range(n):
-            total += hashes[i : len(hashes) - n + 1 + i] * np.uint64(pow(base, i + 1, 1 << 64))
+        for i, weight in enumerate(weights(0, n)):
+            total += hashes[i : len(hashes) - n + 1 + i] * weight
     return mix(total)
 
 

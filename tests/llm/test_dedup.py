@@ -165,3 +165,22 @@ def test_kept_text_is_returned_on_request(spark):
     got = substring.remove_repeats(df, texts=True).orderBy("doc_id").select("kept_text").collect()
     assert [r.kept_text for r in got] == ["x y", "z"]
     assert df.select(F.max("doc_id")).first()[0] == 2
+
+
+def thue_morse(n, signs="ab"):
+    word, other = signs[0], signs[1]
+    for _ in range(n):
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_words_that_collide_under_any_polynomial_stay_apart(spark):
+    first, second = thue_morse(10)
+    shared = [f"w{i}" for i in range(17)]
+    texts = [" ".join([*shared, x, *shared]) for x in (first, second)]
+    rows = [(1, texts[0], "", ""), (2, texts[1], "", ""), (3, first, "", ""), (4, second, "", "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r.component_id for r in near.mark_near(docs).collect()}
+    assert got[3] == 3 and got[4] == 4
+    removed = substring.remove_repeats(docs).select("n_removed").distinct().collect()
+    assert [r[0] for r in removed] == [0]
