@@ -3,7 +3,8 @@
 A table is parquet in the session catalog.  Overwriting writes a new folder
 below the table's root and then points the table at it, so a job may read the
 table it overwrites, readers never see half a write, and a lost executor
-costs a task retry, nothing else.
+costs a task retry, nothing else.  Tables that are replaced by key are laid out
+by key (see ``keyed``), so that a delta rewrites the buckets it touches.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from inkmeter.sources import keyed
+
 
 class TableMissing(Exception):
     """The named table does not exist."""
@@ -23,14 +26,19 @@ def read_table(
 ) -> DataFrame:
     if not spark.catalog.tableExists(name):
         raise TableMissing(name)
-    table = spark.table(name)
+    table = spark.table(name).drop(keyed.BUCKET) if keyed.layout_of(spark, name) else spark.table(name)
     return table.select(*columns) if columns else table
 
 
 def _new_location(spark: SparkSession, name: str) -> str:
+    """The next numbered version; the random part keeps two writers apart."""
     schema, table = name.split(".")
-    root = spark.catalog.getDatabase(schema).locationUri
-    return f"{root}/{table}/version={uuid.uuid4().hex}"
+    root = f"{spark.catalog.getDatabase(schema).locationUri}/{table}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [v.getPath().getName() for v in files.listStatus(path)] if files.exists(path) else []
+    numbers = [int(n[8:16]) for n in names if n.startswith("version=") and n[8:16].isdigit()]
+    return f"{root}/version={max(numbers, default=0) + 1:08d}-{uuid.uuid4().hex[:8]}"
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
@@ -38,6 +46,12 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     spark = df.sparkSession
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
     exists = spark.catalog.tableExists(name)
+    layout = keyed.layout_of(spark, name) if exists else None
+    if layout is not None:
+        if mode != "append":
+            raise ValueError(f"{name} is replaced by key, not overwritten")
+        keyed.replace_keys(spark, name, df, df.select(layout.key).limit(0))
+        return
     if mode == "append" and exists:
         df.select(*spark.table(name).columns).write.insertInto(name)
         return
@@ -63,7 +77,7 @@ def _drop_superseded(spark: SparkSession, location: str) -> None:
         if v.getPath().getName().startswith("version=")
         and v.getPath().getName() != current.getName()
     ]
-    for old in sorted(versions, key=lambda v: v.getModificationTime())[:-1]:
+    for old in sorted(versions, key=lambda v: v.getPath().getName())[:-1]:
         files.delete(old.getPath(), True)
 
 
@@ -79,7 +93,15 @@ def without_keys(table: DataFrame, keys: DataFrame, column: str) -> DataFrame:
 
 
 def delete_where(spark: SparkSession, name: str, keys: DataFrame, column: str) -> None:
-    """Delete by a key list; an empty list rewrites nothing."""
+    """Delete by a key list; an empty list rewrites nothing.
+
+    A table keyed by that column rewrites the buckets of the keys, another one
+    is rewritten as a whole.
+    """
+    layout = keyed.layout_of(spark, name)
+    if layout is not None and layout.key == column:
+        keyed.replace_keys(spark, name, None, keys, column)
+        return
     if keys.isEmpty():
         return
     write_table(without_keys(spark.table(name), keys, column), name)
@@ -104,9 +126,12 @@ def sync_table(
     rows loses its old ones; taking the keys from the new rows would keep them.
     """
     if not spark.catalog.tableExists(name):
-        write_table(rows, name)
-        return
+        keyed.create_keyed(spark, name, rows.schema, column)
     keys = todo.select(column).union(stale.select(column)).distinct()
+    layout = keyed.layout_of(spark, name)
+    if layout is not None and layout.key == column:
+        keyed.replace_keys(spark, name, rows, keys, column)
+        return
     write_table(replaced(spark.table(name), rows, keys, column), name)
 
 
