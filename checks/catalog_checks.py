@@ -13,7 +13,8 @@ from inkmeter.functions.keys import content_hash, surrogate_key
 from inkmeter.operators import cdc, history, scope
 from inkmeter.plans import staging
 from inkmeter.sources import corpus as corpus_source
-from inkmeter.sources import tables
+from inkmeter.sources import keyed, tables
+from inkmeter.streaming import landing
 
 CHECKS: dict = {}
 SQL: dict[str, str] = {}
@@ -252,17 +253,35 @@ def _with_processed(select: str) -> str:
     return body.replace("\n@", f",\n{_PROCESSED}\n{select}")
 
 
-@check(_with_processed(f"""
+_MERGED_LEDGER = _with_processed(f"""
     SELECT catalog_id, catalog_row_hash, text_hash, CAST(first_seen AS VARCHAR) AS first_seen, CAST(last_changed AS VARCHAR) AS last_changed, status FROM (
       SELECT * FROM ledger WHERE catalog_id NOT IN (SELECT catalog_id FROM processed)
       UNION ALL
       SELECT p.catalog_id, p.catalog_row_hash, p.text_hash, coalesce(l.first_seen, TIMESTAMP '{RUN_TS}'), TIMESTAMP '{RUN_TS}', p.status
-      FROM processed p LEFT JOIN ledger l USING (catalog_id))"""))
+      FROM processed p LEFT JOIN ledger l USING (catalog_id))""")
+
+
+@check(_MERGED_LEDGER)
 def watermark_upsert(spark, sf_dir):
     merged = cdc.upsert_ledger(b.ledger(spark, sf_dir), _processed(spark, sf_dir), RUN_TS)
     return b.as_text(merged, "first_seen", "last_changed")
 
 
+@check(_MERGED_LEDGER)
+def outcome_log(spark, sf_dir):
+    """Outcomes logged in three batches, the last one twice, and merged into a kept ledger."""
+    name = f"inkmeter_checks.ledger_{uuid.uuid4().hex}"
+    seen, done = b.ledger(spark, sf_dir), _processed(spark, sf_dir)
+    keyed.create_keyed(spark, name, cdc.LEDGER_SCHEMA, "catalog_id", 16)
+    keyed.replace_keys(spark, name, seen, seen.select("catalog_id"))
+    log = f"{b.run_folder(spark)}/outcomes-{uuid.uuid4().hex}"
+    done = tables.stage_table(done, f"{log}-all")
+    for batch in (0, 1, 2, 2):
+        landing.log_outcomes(done.where(F.col("catalog_id") % 3 == batch), log, batch, RUN_TS)
+    landing.merge_log(spark, log, name)
+    return b.as_text(tables.read_table(spark, name), "first_seen", "last_changed")
+
+
 @check(_with_processed("SELECT status, count(*) AS works FROM processed GROUP BY status"))
 def status_counts(spark, sf_dir):
     return cdc.status_counts(_processed(spark, sf_dir))
@@ -325,16 +344,21 @@ def sync_table(spark, sf_dir):
     earlier, todo = _earlier(spark, sf_dir), b.manual_works(spark, sf_dir)
     fresh = todo.where("is_self = 1").select("work_id", "loaded_at")
     name = f"inkmeter_checks.sync_{uuid.uuid4().hex}"
-    tables.write_table(earlier, name)
+    keyed.create_keyed(spark, name, earlier.schema, "work_id", 16)
+    keyed.replace_keys(spark, name, earlier, earlier.select("work_id"))
     tables.sync_table(spark, name, fresh, todo, cdc.stale_works(earlier, b.corpus(spark, sf_dir)))
-    return b.as_text(spark.table(name), "loaded_at")
+    return b.as_text(tables.read_table(spark, name), "loaded_at")
 
 
 @check("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
 def delete_where(spark, sf_dir):
     lines = b.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     closed = b.table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
-    return tables.without_keys(lines, closed.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    name = f"inkmeter_checks.lines_{uuid.uuid4().hex}"
+    keyed.create_keyed(spark, name, lines.schema, "l_orderkey", 16)
+    keyed.replace_keys(spark, name, lines, lines.select("l_orderkey"))
+    tables.delete_where(spark, name, closed.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    return tables.read_table(spark, name)
 
 
 # --- History ------------------------------------------------------------------------------------
@@ -359,9 +383,11 @@ def scd2(spark, sf_dir):
     old = part.filter("p_size > 5").withColumn(
         "p_type", F.when(F.col("p_type") == "ECONOMY", "BUDGET").otherwise(F.col("p_type"))
     )
-    first = history.first_snapshot(old, "2024-01-01 00:00:00")
-    second = history.snapshot(first, part.filter("p_size <= 45"), "p_partkey", RUN_TS)
-    return b.as_text(second, "valid_from", "valid_to")
+    name = f"inkmeter_checks.parts_{uuid.uuid4().hex}"
+    spark.sql("CREATE SCHEMA IF NOT EXISTS inkmeter_checks")
+    history.snapshot_table(spark, name, old, "p_partkey", "2024-01-01 00:00:00", buckets=16)
+    history.snapshot_table(spark, name, part.filter("p_size <= 45"), "p_partkey", RUN_TS)
+    return b.as_text(history.read_history(spark, name), "valid_from", "valid_to")
 
 
 # --- Scalar functions -----------------------------------------------------------------------------
