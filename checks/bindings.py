@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmeter import fixed_values as fixed
-from inkmeter.functions.prose import split_paragraphs
+from inkmeter.functions.prose import PARAGRAPH, split_paragraphs
 from inkmeter.functions.strings import matches_all
 from inkmeter.operators import metrics, scope
 from inkmeter.operators.tokens import (
@@ -232,10 +232,11 @@ def rule_parse(units: DataFrame) -> DataFrame:
             head.cast("int").alias("head"),
         )
 
-    def sentences(paragraph: Column) -> Column:
+    def sentences(paragraph: Column, i: Column) -> Column:
         # The leading line end is the token that closes an open quotation
+        goes_on = (i == 0) & (F.col("entry") != PARAGRAPH)
         return F.transform(
-            sentence_strings(F.concat(F.lit("\n"), paragraph)),
+            sentence_strings(F.concat(F.when(goes_on, "").otherwise("\n"), paragraph)),
             lambda s: F.transform(matches_all(s, TOKEN), token),
         )
 

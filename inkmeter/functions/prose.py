@@ -394,18 +394,54 @@ def split_paragraphs(value: Column) -> Column:
     return F.split(value, rf"\n[{WHITE}]*\n")
 
 
-def chunk_text(value: Column, max_chars: int = fixed.MAX_CHUNK_CHARS) -> Column:
-    """Pack whole paragraphs into chunks of up to ``max_chars`` characters.
+# How a chunk ends: with its paragraph, with a sentence of it, at white space or anywhere
+PARAGRAPH, SENTENCE, SPACE = 0, 1, 2
+CLOSING = "[\"”’)\\]]"
+
+
+def cut_text(value: Column, max_chars: int = fixed.MAX_CHUNK_CHARS) -> Column:
+    """Array of (chunk, ends): the text in chunks of at most ``max_chars`` characters.
 
-    A longer paragraph is a chunk by itself.  Every character stays.
+    Whole paragraphs are packed.  A paragraph that is longer is cut behind its
+    last sentence that fits, a sentence that is longer at its last white space
+    that fits, and what has none after ``max_chars`` characters.  ``ends`` says
+    which it was, and is ``PARAGRAPH`` for the last chunk.  Every character
+    of a paragraph stays; white space at a cut begins the next chunk.
     """
     joined = F.array_join(split_paragraphs(value), "\n\n")
-    packed = matches_all(
-        joined,
-        rf"(?s)(.{{0,{max_chars}}}(?=\n\n|\z)|.+?(?=\n\n|\z))(?:\n\n|\z)",
-        1,
+    marks = min(63, max_chars // 4)  # closing marks that a sentence may end with
+    pattern = (
+        rf"(?s).{{0,{max_chars}}}(?=\n\n|\z)(?:\n\n|\z)"
+        rf"|.{{0,{max_chars - marks - 1}}}[.!?]{CLOSING}{{0,{marks}}}(?=\s)"
+        rf"|.{{0,{max_chars - 1}}}\S(?=\s)"
+        rf"|.{{1,{max_chars}}}"
     )
+
+    def ended(chunk: Column, last: Column) -> Column:
+        by_paragraph = chunk.endswith("\n\n")
+        return F.struct(
+            F.when(by_paragraph, chunk.substr(F.lit(1), F.length(chunk) - 2))
+            .otherwise(chunk)
+            .alias("chunk"),
+            F.when(last | by_paragraph, PARAGRAPH)
+            .when(chunk.rlike(rf"[.!?]{CLOSING}*\z"), SENTENCE)
+            .otherwise(SPACE)
+            .alias("ends"),
+        )
+
     # The scan ends with one empty match at the very end of the text
-    return F.when(F.length(joined) <= max_chars, F.array(joined)).otherwise(
-        F.filter(packed, lambda chunk: chunk != "")
+    packed = F.filter(matches_all(joined, pattern), lambda chunk: chunk != "")
+    whole = F.array(F.struct(joined.alias("chunk"), F.lit(PARAGRAPH).alias("ends")))
+    cut = let(
+        packed,
+        lambda chunks: F.filter(
+            F.transform(chunks, lambda c, i: ended(c, i == F.size(chunks) - 1)),
+            lambda c: c["chunk"] != "",
+        ),
     )
+    return F.when(F.length(joined) <= max_chars, whole).otherwise(cut)
+
+
+def chunk_text(value: Column, max_chars: int = fixed.MAX_CHUNK_CHARS) -> Column:
+    """The chunks of ``cut_text``."""
+    return F.transform(cut_text(value, max_chars), lambda c: c["chunk"])

@@ -1,8 +1,8 @@
 """Style series per work.
 
-Tokens are counted by (unit, token) and summed per unit inside the partition
-that holds the unit, so what is shuffled to the works is one row of sums per
-unit.  Three sums do not add up across units (distinct types, hapaxes,
+A unit's tokens are counted inside its row, and every token sum is taken there
+over its distinct tokens, so what is shuffled to the works is one row of sums
+per unit.  Three sums do not add up across units (distinct types, hapaxes,
 squared type counts): works that span several units get those from counts
 merged by (work, token), combined map-side and spread by token, so one huge
 work is many small groups.
@@ -13,7 +13,7 @@ same pass instead of adding its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -21,36 +21,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmeter import fixed_values as fixed
-from inkmeter.operators.tokens import View, is_alpha
+from inkmeter.operators.tokens import View, carried, is_alpha, runs
 
 TEXT, SYNTAX = "text", "syntax"
 
+TokenSum = tuple[str, ...] | Callable[[Column], Column]
+
 
 # --- Token counts -----------------------------------------------------------
 
 
-def unit_counts(tokens: DataFrame) -> DataFrame:
-    """(work_id, unit_no, token, n, alpha) within each unit."""
+def _types(rows: DataFrame) -> DataFrame:
+    """(work_id, token, n, alpha): the distinct tokens of each unit."""
+    # The outer form keeps Spark from counting once more to see whether there are any
     return (
-        tokens.groupBy("work_id", "unit_no", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("alpha", is_alpha(F.col("token")))
+        rows.select("work_id", F.explode_outer("types").alias("t"))
+        .select("work_id", "t.*")
+        .filter("token IS NOT NULL")
     )
 
 
-def merged_counts(long_tokens: DataFrame) -> DataFrame:
+def merged_counts(long_rows: DataFrame) -> DataFrame:
     """(work_id, token, n, alpha) of works that span several units."""
     return (
-        long_tokens.groupBy("work_id", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("alpha", is_alpha(F.col("token")))
+        _types(long_rows)
+        .groupBy("work_id", "token", "alpha")
+        .agg(F.sum("n").alias("n"))
+        .select("work_id", "token", "n", "alpha")
     )
 
 
 def token_counts(view: View) -> DataFrame:
     """(work_id, token, n, alpha); short works are counted where they lie."""
-    short = unit_counts(view.single_tokens).drop("unit_no")
-    return short.unionByName(merged_counts(view.long_tokens))
+    return _types(view.rows.filter("units = 1")).unionByName(merged_counts(view.long_rows))
 
 
 def word_counts(view: View) -> DataFrame:
@@ -67,19 +70,16 @@ def vocabulary(parsed: DataFrame) -> DataFrame:
         ),
         lambda t: F.lower(t["lemma"]),
     )
-    units = parsed.select("work_id", "unit_no", "units", lemmas.alias("lemmas"))
-
-    def counted(rows: DataFrame, *keys: str) -> DataFrame:
-        return (
-            rows.select(*keys, F.explode("lemmas").alias("term"))
-            .groupBy(*keys, "term")
-            .agg(F.count(F.lit(1)).alias("term_count"))
-            .select("work_id", "term", "term_count")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        terms = rows.select("work_id", F.explode_outer(runs(lemmas)).alias("r"))
+        return terms.filter("r.value IS NOT NULL").select(
+            "work_id", F.col("r.value").alias("term"), F.col("r.n").alias("term_count")
         )
 
-    short = units.filter("units = 1").repartition("work_id", "unit_no")
-    return counted(short, "work_id", "unit_no").unionByName(
-        counted(units.filter("units > 1"), "work_id")
+    long = counted(parsed.filter("units > 1")).groupBy("work_id", "term")
+    return counted(parsed.filter("units = 1")).unionByName(
+        long.agg(F.sum("term_count").alias("term_count"))
     )
 
 
@@ -99,10 +99,11 @@ class Series:
 class Registry:
     """The token sums measuring takes, and the series read off all sums.
 
-    ``token_sums`` are expressions over (token, n, alpha), summed per work.
+    A token sum is what ``count_of`` gives, or a function of a type (token, n,
+    alpha) whose results are added up.
     """
 
-    token_sums: dict[str, Column] = field(default_factory=dict)
+    token_sums: dict[str, TokenSum] = field(default_factory=dict)
     series: list[Series] = field(default_factory=list)
 
     def register(
@@ -110,7 +111,7 @@ class Registry:
         name: str,
         value: Column,
         needs: str = TEXT,
-        token_sums: dict[str, Column] | None = None,
+        token_sums: dict[str, TokenSum] | None = None,
     ) -> None:
         """Add a series, with whatever token sums it needs beyond those present."""
         if any(s.name == name for s in self.series):
@@ -119,9 +120,9 @@ class Registry:
         self.series.append(Series(name, value, needs))
 
 
-def count_of(tokens: Iterable[str]) -> Column:
+def count_of(tokens: Iterable[str]) -> tuple[str, ...]:
     """Occurrences of any of the tokens."""
-    return F.when(F.col("token").isin(*tokens), F.col("n"))
+    return tuple(dict.fromkeys(tokens))
 
 
 def share(part: Column, whole: Column) -> Column:
@@ -142,11 +143,10 @@ def builtin_registry(
     punctuation: dict[str, tuple[str, ...]] = fixed.PUNCTUATION_MARKS,
 ) -> Registry:
     """The 63 style series plus word_count."""
-    n = F.col("n")
     reg = Registry(
         token_sums={
-            "words": F.when(F.col("alpha"), n),
-            "letters": F.when(F.col("alpha"), n * F.length("token")),
+            "words": lambda t: F.when(t["alpha"], t["n"]),
+            "letters": lambda t: F.when(t["alpha"], t["n"] * F.length(t["token"])),
             "archaic": count_of(archaic_words),
             "clitics": count_of(_clitics()),
         }
@@ -198,43 +198,80 @@ def builtin_registry(
     return reg
 
 
-def repetition() -> list[Column]:
-    """Distinct words, hapaxes and squared counts over (token, n, alpha) rows."""
+REPETITION = ("distinct", "hapaxes", "squares")
+
+
+def unit_sums(rows: DataFrame, reg: Registry, kept: Iterable[str]) -> DataFrame:
+    """(work_id, kept..., token sums, repetition) of each unit, from its own row.
+
+    Of a unit's types the few that any sum asks for by name are singled out
+    once, by a hash set, so that looking one up is a short search.
+    """
+    zero = F.lit(0).cast("bigint")
+    named = sorted({w for s in reg.token_sums.values() if isinstance(s, tuple) for w in s})
+
+    def total(of: Column | str, value) -> Column:  # noqa: ANN001
+        return F.aggregate(of, zero, lambda acc, t: acc + F.coalesce(value(t), zero))
+
+    def number(word: str) -> Column:
+        at = F.array_position("_names", word).cast("int") - 1
+        return F.coalesce(F.get("_numbers", F.when(at >= 0, at)), zero)
+
+    def token_sum(spec: TokenSum) -> Column:
+        if not isinstance(spec, tuple):
+            return total("types", spec)
+        return reduce(lambda a, b: a + b, [number(w) for w in spec], zero)
+
+    found = rows.withColumn("_named", F.filter("types", lambda t: t["token"].isin(*named)))
+    found = found.withColumns(
+        {
+            "_names": F.transform("_named", lambda t: t["token"]),
+            "_numbers": F.transform("_named", lambda t: t["n"]),
+            "_words": F.filter("types", lambda t: t["alpha"]),
+        }
+    )
+    once = F.filter("_words", lambda t: t["n"] == 1)
+    return found.select(
+        "work_id",
+        *kept,
+        *[token_sum(s).alias(name) for name, s in reg.token_sums.items()],
+        F.size("_words").cast("bigint").alias("distinct"),
+        F.size(once).cast("bigint").alias("hapaxes"),
+        total("_words", lambda t: t["n"] * t["n"]).alias("squares"),
+    )
+
+
+def _merged_repetition(long_rows: DataFrame) -> DataFrame:
+    """Distinct words, hapaxes and squared counts of works that span several units."""
     alpha, n = F.col("alpha"), F.col("n")
-    return [
-        F.count_if(alpha).alias("distinct"),
-        F.count_if(alpha & (n == 1)).alias("hapaxes"),
-        F.coalesce(F.sum(F.when(alpha, n * n)), F.lit(0)).alias("squares"),
-    ]
+    return (
+        merged_counts(long_rows)
+        .groupBy("work_id")
+        .agg(
+            F.count_if(alpha).alias("_distinct"),
+            F.count_if(alpha & (n == 1)).alias("_hapaxes"),
+            F.coalesce(F.sum(F.when(alpha, n * n)), F.lit(0)).alias("_squares"),
+        )
+    )
 
 
 def work_sums(view: View, reg: Registry) -> DataFrame:
     """Every sum a series may read, one row per work."""
-    added = [c for c in view.sums.columns if c != "work_id"]
-    per_work = view.sums.groupBy("work_id").agg(*[F.sum(c).alias(c) for c in added])
-    # All types of a unit lie in one partition: the map-side sum is one row per unit
-    from_tokens = (
-        unit_counts(view.tokens)
-        .groupBy("work_id")
-        .agg(*[F.sum(c).alias(name) for name, c in reg.token_sums.items()], *repetition())
+    units = unit_sums(view.rows, reg, view.sums)
+    added = [c for c in units.columns if c != "work_id"]
+    per_work = units.groupBy("work_id").agg(*[F.sum(c).alias(c) for c in added])
+    cuts = carried(view.long_rows)
+    crossing = [c for c in cuts.columns if c != "work_id"]
+    joined = per_work.join(_merged_repetition(view.long_rows), "work_id", "left").join(
+        cuts.withColumnsRenamed({c: f"_{c}" for c in crossing}), "work_id", "left"
     )
-    merged = (
-        merged_counts(view.long_tokens)
-        .groupBy("work_id")
-        .agg(*repetition())
-        .select(
-            "work_id",
-            *[F.col(c).alias(f"_{c}") for c in ("distinct", "hapaxes", "squares")],
-        )
+    joined = joined.withColumns({c: F.coalesce(f"_{c}", c) for c in REPETITION}).withColumns(
+        {c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in crossing}
     )
-    joined = per_work.join(from_tokens, "work_id", "left").join(merged, "work_id", "left")
-    for c in ("distinct", "hapaxes", "squares"):
-        joined = joined.withColumn(c, F.coalesce(f"_{c}", c))
     if not view.parsed:
         # Without a parse no possessive is known and every 's counts
         joined = joined.withColumn("possessives", F.lit(0).cast("bigint"))
-    # A work without a token has no token sums
-    return joined.drop("_distinct", "_hapaxes", "_squares").fillna(0)
+    return joined.drop(*[f"_{c}" for c in (*REPETITION, *crossing)])
 
 
 def measure_wide(view: View, registry: Registry | None = None) -> DataFrame:

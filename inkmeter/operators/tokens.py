@@ -1,16 +1,20 @@
-"""Documents to units to tokenised (or parsed) units.
-
-A unit is a run of whole paragraphs of at most ``max_chars`` characters:
-``(work_id, unit_no, units, text)``.  Nearly every work is one unit; a long
-one is several, which bounds the size of a row and spreads the work over
-tasks.  No sentence, quotation or dependency tree crosses a unit, so measuring
-one never leaves its row.
-
-A view of the units holds what measuring reads: their tokens as rows and one
-row of sums per unit.  ``text_view`` takes it from the text alone,
-``parsed_view`` from a parser's output.  Tokens are partitioned by unit, so
-counting them by (unit, token) and by unit needs no further shuffle: what
-moves is the text, once, in even pieces.
+"""Documents to units to counted units.
+
+A unit is a run of whole paragraphs, or a piece of a long one, of at most
+``max_chars`` characters: ``(work_id, unit_no, units, entry, text)``.  Nearly
+every work is one unit; a long one is several, which bounds what a row holds
+while it is measured.  ``entry`` says what the unit goes on with: a new
+paragraph, the paragraph of the unit before, or its very sentence.
+
+A view of the units holds one row of counts and sums for each: its distinct
+tokens with their numbers, found as runs of the sorted tokens, and what
+measuring adds up.  All of it is worked out inside the unit's row, where it was
+read: no text and no token is exchanged.  ``text_view`` takes it from the text
+alone, ``parsed_view`` from a parser's output.
+
+What crosses a cut inside a paragraph is carried: a row of a cut work says how
+it would count if a quotation were open at its beginning, whether it leaves
+one open, and how many words its first and last sentence have.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmeter import fixed_values as fixed
-from inkmeter.functions.prose import chunk_text, split_paragraphs
+from inkmeter.functions.prose import PARAGRAPH, SPACE, cut_text, split_paragraphs
 from inkmeter.functions.strings import let, matches_all, text
 
 TOKEN_TYPE = (
@@ -31,7 +35,8 @@ TOKEN_TYPE = (
     "pos:string,tag:string,dep:string,head:int>"
 )
 PARSED_COLUMNS = (
-    f"work_id string, unit_no int, units int, text string, sents array<array<{TOKEN_TYPE}>>"
+    "work_id string, unit_no int, units int, entry int, text string, "
+    f"sents array<array<{TOKEN_TYPE}>>"
 )
 
 # What the text-only tokeniser takes for a clitic, a sentence, a token
@@ -52,39 +57,80 @@ def text_units(
     documents: DataFrame, text_column: str = "text", max_chars: int = fixed.MAX_CHUNK_CHARS
 ) -> DataFrame:
     """Units of each document; ``documents`` holds one row per work."""
-    value = text(text_column)
-    chunked = (
-        documents.filter(F.col("work_id").isNotNull())
-        .select(
-            F.col("work_id").cast("string").alias("work_id"),
-            chunk_text(value, max_chars).alias("chunks"),
-        )
-        .withColumn("units", F.size("chunks"))
+    work = F.coalesce(
+        F.col("work_id").cast("string"), F.raise_error(F.lit("a document has no work_id"))
+    )
+    chunked = documents.select(
+        work.alias("work_id"), cut_text(text(text_column), max_chars).alias("chunks")
+    ).select("work_id", F.size("chunks").alias("units"), "chunks")
+    entries = F.transform(
+        "chunks",
+        lambda c, i: F.struct(
+            c["chunk"].alias("text"),
+            F.coalesce(F.get("chunks", i - 1)["ends"], F.lit(PARAGRAPH)).alias("entry"),
+        ),
     )
     # There is always a chunk; the outer form keeps Spark from testing that first
-    return chunked.select(
-        "work_id", "units", F.posexplode_outer("chunks").alias("unit_no", "text")
+    return chunked.select("work_id", "units", F.posexplode_outer(entries).alias("unit_no", "u")).select(
+        "work_id", "unit_no", "units", "u.entry", "u.text"
     )
 
 
 @dataclass(frozen=True)
 class View:
-    """Units as measuring reads them.
+    """Units as measuring reads them, a row each.
 
-    ``tokens``: (work_id, unit_no, token), case-folded, partitioned by unit;
-    ``single_tokens`` those of works that are one unit.
-    ``sums``: (work_id, sentence_count, sentence_words, sentence_squares,
-    quoted, ...) per unit; a parse adds its own.
-    ``long_tokens``: the tokens of works that span several units.
+    ``rows``: (work_id, unit_no, units, types, sums...); ``types`` holds
+    (token, n, alpha) of the unit's distinct case-folded tokens, the sums are
+    those named in ``sums``.  ``long_rows``: those of works of several units,
+    with what they carry over a cut, as ``carry``.
     """
 
-    tokens: DataFrame
-    single_tokens: DataFrame
-    sums: DataFrame
-    long_tokens: DataFrame
+    rows: DataFrame
+    long_rows: DataFrame
+    sums: tuple[str, ...]
     parsed: bool
 
 
+def runs(values: Column) -> Column:
+    """(value, n) of the distinct values of an array of strings.
+
+    What is used more than once is bound by ``let``: the optimizer may copy a
+    column's expression into a filter, and into every step of a lambda there.
+    """
+
+    def of_sorted(ordered: Column) -> Column:
+        size = F.size(ordered)
+        indices = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(
+            F.array().cast("array<int>")
+        )
+        starts = F.filter(
+            indices, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
+        )
+        return let(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda s, k: F.struct(
+                    F.get(ordered, s).alias("value"),
+                    (F.coalesce(F.get(at, k + 1), size) - s).cast("bigint").alias("n"),
+                ),
+            ),
+        )
+
+    return let(F.sort_array(values), of_sorted)
+
+
+def _types(tokens: Column) -> Column:
+    """(token, n, alpha) of the distinct tokens of an array."""
+    return F.transform(
+        runs(tokens),
+        lambda r: F.struct(
+            r["value"].alias("token"), r["n"].alias("n"), is_alpha(r["value"]).alias("alpha")
+        ),
+    )
+
+
 def _replace_clitics(value: Column, by: str) -> Column:
     """Most texts hold no apostrophe: look for one before searching clitics."""
     any_apostrophe = F.contains(value, F.lit("'")) | F.contains(value, F.lit("’"))
@@ -133,11 +179,73 @@ def is_alpha(token: Column) -> Column:
     return token.rlike(ALPHA)
 
 
-def _token_rows(units: DataFrame) -> DataFrame:
-    return units.select(
+def leaves_open(value: Column) -> Column:
+    """Whether the last quotation of a text runs on behind its end."""
+    return let(
+        matches_all(value, QUOTATION),
+        lambda found: F.coalesce(
+            let(
+                F.get(found, F.size(found) - 1),
+                lambda last: value.endswith(last)
+                & ~((F.length(last) > 1) & last.rlike(r"[\"”]\z")),
+            ),
+            F.lit(False),
+        ),
+    )
+
+
+def _carry(quoted: Column, opened: Column, shown: Column, count_quoted, words: Column) -> Column:  # noqa: ANN001
+    """What a unit of a cut work hands on; ``shown`` is its text for quotation marks."""
+    behind_opener = F.concat(F.lit(fixed.OPEN_QUOTE), shown)
+    return F.struct(
+        F.col("unit_no"),
+        F.col("entry"),
+        quoted.alias("quoted"),
+        count_quoted(behind_opener).alias("quoted_inside"),
+        opened.alias("opens"),
+        leaves_open(behind_opener).alias("stays_open"),
+        F.size(words).alias("sentences"),
+        F.coalesce(F.get(words, F.lit(0)), F.lit(0)).cast("bigint").alias("first_words"),
+        F.coalesce(F.get(words, F.size(words) - 1), F.lit(0)).cast("bigint").alias("last_words"),
+    )
+
+
+def carried(long_rows: DataFrame) -> DataFrame:
+    """(work_id, sentence_count, sentence_squares, quoted): what cuts inside paragraphs cost.
+
+    Added to the sums of the units, they are those of the uncut work.
+    """
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(
+        F.lit(False).alias("open"), zero.alias("running"), zero.alias("count"),
+        zero.alias("squares"), zero.alias("quoted"),
+    )
+
+    def step(acc: Column, u: Column) -> Column:
+        inside = (u["entry"] != PARAGRAPH) & acc["open"]
+        goes_on = (u["entry"] == SPACE) & (u["sentences"] > 0)
+        begun = F.when(u["entry"] == SPACE, acc["running"]).otherwise(0).cast("bigint")
+        running = F.when(u["sentences"] == 0, begun).otherwise(
+            u["last_words"] + F.when(u["sentences"] == 1, begun).otherwise(0)
+        )
+        return F.struct(
+            F.when(inside, u["stays_open"]).otherwise(u["opens"]).alias("open"),
+            running.cast("bigint").alias("running"),
+            (acc["count"] - goes_on.cast("bigint")).alias("count"),
+            (acc["squares"] + F.when(goes_on, 2 * begun * u["first_words"]).otherwise(0))
+            .cast("bigint")
+            .alias("squares"),
+            (acc["quoted"] + F.when(inside, u["quoted_inside"] - u["quoted"]).otherwise(0))
+            .cast("bigint")
+            .alias("quoted"),
+        )
+
+    units = long_rows.groupBy("work_id").agg(F.sort_array(F.collect_list("carry")).alias("u"))
+    return units.select("work_id", F.aggregate("u", start, step).alias("c")).select(
         "work_id",
-        "unit_no",
-        F.explode(token_strings(space_clitics(F.col("text")))).alias("token"),
+        F.col("c.count").alias("sentence_count"),
+        F.col("c.squares").alias("sentence_squares"),
+        F.col("c.quoted").alias("quoted"),
     )
 
 
@@ -156,29 +264,39 @@ def sentence_table(units: DataFrame) -> DataFrame:
     )
 
 
+def _quoted_words(value: Column) -> Column:
+    return (
+        F.when(value.rlike(QUOTE), word_count(quoted_text(value))).otherwise(0).cast("bigint")
+    )
+
+
 def text_view(
     documents: DataFrame, text_column: str = "text", max_chars: int = fixed.MAX_CHUNK_CHARS
 ) -> View:
     """View of one-row-per-work documents; no annotation is known."""
-    by_unit = text_units(documents, text_column, max_chars).repartition("work_id", "unit_no")
-    sentences = F.flatten(
-        F.transform(split_paragraphs(space_clitics(F.col("text"))), sentence_strings)
-    )
-    sums = by_unit.select(
-        "work_id",
-        F.transform(sentences, word_count).alias("_words"),
-        F.when(F.col("text").rlike(QUOTE), word_count(quoted_text(F.col("text"))))
-        .otherwise(0)
-        .cast("bigint")
-        .alias("quoted"),
-    ).select("work_id", *_sentence_sums("_words"), "quoted")
+    text = F.col("text")
+
+    def counted(units: DataFrame, *carry: Column) -> DataFrame:
+        sentences = F.flatten(F.transform(split_paragraphs(F.col("_spaced")), sentence_strings))
+        read = units.withColumn("_spaced", space_clitics(text)).select(
+            "work_id", "unit_no", "units", "entry", "text",
+            _types(token_strings(F.col("_spaced"))).alias("types"),
+            F.transform(sentences, word_count).alias("_words"),
+            _quoted_words(text).alias("quoted"),
+        )
+        return read.select(
+            "work_id", "unit_no", "units", "types", *_sentence_sums("_words"), "quoted", *carry
+        )
+
     # More than one unit takes more than max_chars characters
     long = documents.filter(F.length(text_column) > max_chars)
+    carry = _carry(F.col("quoted"), leaves_open(text), text, _quoted_words, F.col("_words"))
     return View(
-        tokens=_token_rows(by_unit),
-        single_tokens=_token_rows(by_unit.filter("units = 1")),
-        sums=sums,
-        long_tokens=_token_rows(text_units(long, text_column, max_chars).filter("units > 1")),
+        rows=counted(text_units(documents, text_column, max_chars)),
+        long_rows=counted(
+            text_units(long, text_column, max_chars).filter("units > 1"), carry.alias("carry")
+        ),
+        sums=("sentence_count", "sentence_words", "sentence_squares", "quoted"),
         parsed=False,
     )
 
@@ -250,14 +368,10 @@ def parsed_sentences(parsed: DataFrame) -> DataFrame:
     )
 
 
-def quoted_tokens(tokens: Column) -> Column:
-    """Words inside double quotes, by one letter per token.
-
-    w: word, n: newline, quotes as themselves; a quotation runs from an opener
-    to the next closer, newline or end.
-    """
+def quote_letters(tokens: Column) -> Column:
+    """One letter per token: w a word, a newline and quotes as themselves, o any other."""
     quotes = (fixed.OPEN_QUOTE, fixed.CLOSE_QUOTE, fixed.STRAIGHT_QUOTE)
-    letters = F.array_join(
+    return F.array_join(
         F.transform(
             tokens,
             lambda t: F.when(is_alpha(t), "w")
@@ -267,21 +381,23 @@ def quoted_tokens(tokens: Column) -> Column:
         ),
         "",
     )
+
+
+def _quoted_letters(letters: Column) -> Column:
     return F.regexp_count(quoted_text(letters), F.lit("w")).cast("bigint")
 
 
+def quoted_tokens(tokens: Column) -> Column:
+    """Words inside double quotes; a quotation runs to the next closer, newline or end."""
+    return _quoted_letters(quote_letters(tokens))
+
+
 def parsed_view(parsed: DataFrame) -> View:
-    """View of parsed units (``PARSED_COLUMNS``)."""
+    """View of parsed units (``PARSED_COLUMNS``).
 
-    def token_rows(rows: DataFrame, spread: bool) -> DataFrame:
-        texts = rows.select(
-            "work_id",
-            "unit_no",
-            F.transform(F.flatten("sents"), lambda t: fold_case(t["text"])).alias("tokens"),
-        )
-        if spread:
-            texts = texts.repartition("work_id", "unit_no")
-        return texts.select("work_id", "unit_no", F.explode("tokens").alias("token"))
+    A parse of a unit that begins or ends inside a sentence takes that part for
+    a sentence: its depth and kind are those of the part.
+    """
 
     def tokens_where(condition) -> Column:  # noqa: ANN001
         return F.size(F.filter("parse", condition)).cast("bigint")
@@ -292,19 +408,24 @@ def parsed_view(parsed: DataFrame) -> View:
             words.alias("words"), tree_depth(s).alias("depth"), sentence_kind(s).alias("kind")
         )
 
-    described = parsed.select(
-        "work_id",
-        F.flatten("sents").alias("parse"),
-        F.transform("sents", describe).alias("described"),
-    ).withColumn("_words", F.transform("described", lambda s: s["words"]))
+    described = (
+        parsed.select(
+            "work_id", "unit_no", "units", "entry",
+            F.flatten("sents").alias("parse"),
+            F.transform("sents", describe).alias("described"),
+        )
+        .withColumn("_words", F.transform("described", lambda s: s["words"]))
+        .withColumn("_letters", quote_letters(F.transform("parse", lambda t: t["text"])))
+        .withColumn("quoted", _quoted_letters(F.col("_letters")))
+    )
 
     def kind_is(kind: str):  # noqa: ANN202
         return lambda s: s["kind"] == kind
 
-    sums = described.select(
-        "work_id",
+    letters = F.col("_letters")
+    sums = [
         *_sentence_sums("_words"),
-        quoted_tokens(F.transform("parse", lambda t: t["text"])).alias("quoted"),
+        F.col("quoted"),
         tokens_where(lambda t: t["pos"] == "ADJ").alias("adjectives"),
         tokens_where(lambda t: t["pos"] == "ADV").alias("adverbs"),
         tokens_where(
@@ -317,12 +438,18 @@ def parsed_view(parsed: DataFrame) -> View:
             F.size(F.filter("described", kind_is(k))).cast("bigint").alias(f"kind_{k}")
             for k in fixed.SENTENCE_TYPES
         ],
-    )
+    ]
+
+    def counted(units: DataFrame, *carry: Column) -> DataFrame:
+        types = _types(F.transform("parse", lambda t: fold_case(t["text"]))).alias("types")
+        return units.select("work_id", "unit_no", "units", types, *sums, *carry)
+
+    carry = _carry(F.col("quoted"), leaves_open(letters), letters, _quoted_letters, F.col("_words"))
+    rows = counted(described)
     return View(
-        tokens=token_rows(parsed, spread=True),
-        single_tokens=token_rows(parsed.filter("units = 1"), spread=True),
-        sums=sums,
-        long_tokens=token_rows(parsed.filter("units > 1"), spread=False),
+        rows=rows,
+        long_rows=counted(described.filter("units > 1"), carry.alias("carry")),
+        sums=tuple(c for c in rows.columns if c not in ("work_id", "unit_no", "units", "types")),
         parsed=True,
     )
 
@@ -352,6 +479,6 @@ def annotate(units: DataFrame, annotator: Annotator) -> DataFrame:
             parsed = list(annotator(frame["text"].tolist()))
             yield frame.assign(sents=pd.Series(parsed, index=frame.index, dtype=object))
 
-    return units.select("work_id", "unit_no", "units", "text").mapInPandas(
+    return units.select("work_id", "unit_no", "units", "entry", "text").mapInPandas(
         batches, PARSED_COLUMNS
     )

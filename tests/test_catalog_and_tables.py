@@ -232,14 +232,6 @@ def plan_of(df):
     return out.getvalue()
 
 
-def test_measuring_shuffles_no_tokens(spark):
-    """Works of one unit are counted by token without an exchange on the token."""
-    docs = spark.createDataFrame([("w", "a b")], "work_id string, text string")
-    plan = plan_of(metrics.unit_counts(tok.text_view(docs).tokens))
-    assert plan.count("Exchange") == 1 and "hashpartitioning(work_id" in plan
-    assert "token" not in plan.split("Exchange", 1)[1].split("\n", 1)[0]
-
-
 def test_zscore_moves_only_statistics(spark):
     events = b.table(spark, SF, "events")
     plan = plan_of(marts.zscore(events, "value", "event_type"))

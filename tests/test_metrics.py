@@ -22,7 +22,7 @@ def parse(spark, sentences, work_id="w"):
         [dict(zip(("text", "pos", "tag", "dep", "head", "lemma", "stop"), t)) for t in s]
         for s in sentences
     ]
-    return spark.createDataFrame([(work_id, 0, 1, "", sents)], tok.PARSED_COLUMNS)
+    return spark.createDataFrame([(work_id, 0, 1, 0, "", sents)], tok.PARSED_COLUMNS)
 
 
 def word(text, pos="NOUN", tag="NN", dep="dep", head=0, lemma=None, stop=False):

@@ -1,7 +1,9 @@
 """Text preparation on small texts with written-out results."""
 
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkmeter.functions import prose
@@ -157,26 +159,40 @@ def test_clean_markdown(spark):
     )
 
 
-def test_chunks_against_brute_force(spark):
-    rng = random.Random(3)
-    texts = [
-        "".join(rng.choice(["ab", "c d", "\n", "\n\n", "\n \n", "efghijkl"]) for _ in range(rng.randint(0, 30)))
-        for _ in range(300)
-    ]
-
-    import re
-
-    def packed(text, most):
-        chunks, current = [], None
-        for p in re.split(r"\n\s*\n", text):
-            joined = p if current is None else current + "\n\n" + p
-            if current is not None and len(joined) > most:
-                chunks.append(current)
-                joined = p
-            current = joined
-        return [*chunks, current]
-
+def cut_brute(text, most):
+    """Chunks and how they end, by trying every place to cut."""
+    marks = min(63, most // 4)
+    out = []
+    while text:
+        window = [k for k in range(min(most, len(text)) + 1) if text.startswith("\n\n", k) or k == len(text)]
+        ends, skip = prose.PARAGRAPH, 2
+        if not window:
+            skip = 0
+            sentence = [
+                k for k in range(1, min(most, len(text) - 1) + 1)
+                if text[k].isspace() and (m := re.search(r"[.!?]([\"”’)\]]*)\Z", text[:k]))
+                and len(m[1]) <= marks and k - len(m[1]) <= most - marks
+            ]
+            spaces = [k for k in range(1, min(most, len(text) - 1) + 1) if text[k].isspace() and not text[k - 1].isspace()]
+            window = sentence or spaces or [min(most, len(text))]
+            ended = re.search(r"[.!?][\"”’)\]]*\Z", text[: window[-1]])
+            ends = prose.SENTENCE if ended else prose.SPACE
+        at = window[-1]
+        whole = at == len(text) and text.endswith("\n\n")
+        out.append((text[: at - 2 * whole], ends))
+        text = text[at + skip :]
+    out = [c for c in out if c[0]]
+    return [*out[:-1], (out[-1][0], prose.PARAGRAPH)] if out else [("", prose.PARAGRAPH)]
+
+
+@pytest.mark.parametrize("most", [12, 40])
+def test_chunks_against_brute_force(spark, most):
+    rng = random.Random(4)
+    pieces = ["ab", "c d", "efghijkl", "\n\n", "\n", " ", ". ", "!\") ", "?", "long" * 5, "«é” "]
+    texts = ["", "\n\n", "   ", "x" * 100, "." * 30, *("".join(rng.choices(pieces, k=rng.randint(1, 60))) for _ in range(400))]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
-    for r in rows.select("t", prose.chunk_text(F.col("t"), 12).alias("v")).collect():
-        # A chunk of no characters carries nothing and is left out
-        assert r.v == ([c for c in packed(r.t, 12) if c] or [""]), r.t
+    for r in rows.select("t", prose.cut_text(F.col("t"), most).alias("v")).collect():
+        joined = re.sub(r"\n\s*\n", "\n\n", r.t)
+        want = cut_brute(joined, most) if len(joined) > most else [(joined, prose.PARAGRAPH)]
+        assert [tuple(c) for c in r.v] == want, (r.t, r.v, want)
+        assert all(len(c.chunk) <= most for c in r.v)
