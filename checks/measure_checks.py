@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from checks import bindings as b
 from checks.duck import FWORD_SQL, MARK_SQL, MEASURE_PARTS, SINGLE, key, oracle, series_sql
 from inkmeter import fixed_values as fixed
-from inkmeter.operators import metrics, quality
+from inkmeter.operators import declared, metrics, quality
 from inkmeter.operators import tokens as tok
 from inkmeter.plans import marts, reports, staging, star
+from inkmeter.plans.declared_checks import DECLARED
 from inkmeter.sources.lookups import metric_concepts
 
 CHECKS: dict = {}
@@ -701,3 +702,61 @@ add(
     + """ UNION ALL SELECT 'unique l_orderkey', 'lineitem', (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1))
           UNION ALL SELECT 'range c_acctbal', 'customer', (SELECT count(*) FROM customer WHERE c_acctbal < 0))""",
 )
+
+
+def declared_tables(spark, sf_dir):
+    """The tables that declare checks."""
+    wh = b.warehouse(spark, sf_dir)
+    measurements = staging.stg_measurements(b.raw_measurements(spark, sf_dir))
+    return wh.tables() | {
+        "stg_works": staging.stg_works(b.roster(spark, sf_dir)),
+        "int_measurements": star.normalized_measurements(measurements, wh.dim_metric),
+        "int_vocab_jaccard": star.vocab_jaccard(wh.author_vocabulary),
+    }
+
+
+_GIVEN = {
+    "orders": [
+        *declared.key("o_orderkey"), *declared.related("o_custkey", "customer", "c_custkey"),
+        declared.accepted("o_orderstatus", ["O", "F"]), declared.in_range("o_totalprice", 1000, 300000),
+    ],
+    "lineitem": [
+        declared.unique("l_orderkey"), declared.unique_together("l_orderkey", "l_linenumber"),
+        *declared.related("l_orderkey", "orders", "o_orderkey"), *declared.related("l_partkey", "customer", "c_custkey"),
+        declared.in_range("l_quantity", high=40),
+    ],
+    "customer": [*declared.key("c_custkey"), declared.in_range("c_acctbal", 0)],
+}
+
+
+def declared_checks(spark, sf_dir):
+    """All checks that the built tables declare, and some that the given tables break."""
+    given = {t: b.table(spark, sf_dir, t) for t in _GIVEN}
+    return declared.run_declared(declared_tables(spark, sf_dir) | given, DECLARED | _GIVEN)
+
+
+def _declared_sql(table, check):
+    columns = ", ".join(check.columns)
+    first = check.columns[0]
+    counted = {
+        "not_null": f"SELECT count(*) FROM {table} WHERE {first} IS NULL",
+        "unique": f"SELECT count(*) FROM (SELECT {first} FROM {table} WHERE {first} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
+        "unique_together": f"SELECT count(*) FROM (SELECT {columns} FROM {table} GROUP BY ALL HAVING count(*) > 1)",
+        "range": f"SELECT count(*) FROM {table} WHERE {first} < {check.low if check.low is not None else '-1e300'} OR {first} > {check.high if check.high is not None else '1e300'}",
+        "accepted": f"SELECT count(*) FROM {table} WHERE {first} NOT IN ({', '.join(map(repr, check.values))})",
+        "related": f"SELECT count(*) FROM {table} WHERE {first} IS NOT NULL AND {first} NOT IN (SELECT {check.parent_column} FROM {check.parent or table})",
+    }[check.kind]
+    return f"SELECT '{check.name}' AS check_name, '{table}' AS table_name, ({counted}) AS violations"
+
+
+add(
+    "declared_checks",
+    declared_checks,
+    "SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM ("
+    + " UNION ALL ".join(
+        [_declared_sql(t, c) for t, cs in _GIVEN.items() for c in cs]
+        # The built tables keep what they declare
+        + [f"SELECT '{c.name}', '{t}', 0" for t, cs in DECLARED.items() for c in cs]
+    )
+    + ")",
+)

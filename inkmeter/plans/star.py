@@ -200,12 +200,14 @@ def vocab_jaccard(author_terms: DataFrame) -> DataFrame:
 def fact_vocab_overlap(overlap: DataFrame, authors: DataFrame) -> DataFrame:
     """One row per (self author, other author).
 
-    There is one self author by definition; of several, the largest key stands
-    for all.  Without one there is no overlap.
+    There is one self author by definition; several yield a row each, which the
+    uniqueness check of the other author reports.  Without one there is no overlap.
     """
-    one = authors.filter("is_self = 1").agg(F.max("author_key")).scalar()
+    selves = authors.select(F.col("author_key").alias("author_key_a"), F.col("is_self").alias("_self"))
     loaded_date = F.col("loaded_at").cast("date")
-    return overlap.withColumn("author_key_a", one).filter("author_key_a IS NOT NULL").select(
+    # The self authors, a handful, meet every row of the overlap by their mark
+    paired = overlap.withColumn("_self", F.lit(1)).join(selves.filter("_self = 1"), "_self")
+    return paired.select(
         surrogate_key("author_key_a", "author_key").alias("overlap_key"),
         "author_key_a",
         F.col("author_key").alias("author_key_b"),
