@@ -214,8 +214,8 @@ def unit_sums(rows: DataFrame, reg: Registry, kept: Iterable[str]) -> DataFrame:
         return F.aggregate(of, zero, lambda acc, t: acc + F.coalesce(value(t), zero))
 
     def number(word: str) -> Column:
-        at = F.array_position("_names", word).cast("int") - 1
-        return F.coalesce(F.get("_numbers", F.when(at >= 0, at)), zero)
+        # A word that does not occur has the place before the first, which holds nothing
+        return F.coalesce(F.get("_numbers", F.array_position("_names", word).cast("int") - 1), zero)
 
     def token_sum(spec: TokenSum) -> Column:
         if not isinstance(spec, tuple):
