@@ -13,8 +13,9 @@ priors the score.
 What is fitted is bounded, whatever the size of the input: ``SAMPLE_ROWS``
 whole documents a language, those of the smallest hashed id, and ``MOST_NODES``
 counts in all; where the sample holds more, the least frequent ones of every
-order go together.  A task builds each tree; the trees go to the driver
-and are broadcast.  Rows outside the sample move nowhere.  Everything else covers all rows.
+order go together.  A task builds each tree; the trees go to the driver and are
+broadcast.  Rows outside the sample move nowhere.  Everything else covers all
+rows.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0, as is
 every text if nothing could be learned; an empty language value is a value; a
