@@ -3,16 +3,24 @@
 A text becomes units: white space marks and the signs up to the next mark.
 Distinct units of a batch are sorted by length, and units of equal length
 advance together, one position at a time.  For each position every substring
-that ends there is hashed from running sums and looked up among the sorted
-hashes of all pieces; the best candidate's length is stored as a backpointer,
-and the pieces are read off from the end.
+that ends there is hashed from running sums and, where a bitmap of leading bits
+says it may be a piece, looked up among the sorted hashes of all pieces; the
+best candidate's length is stored as a backpointer, and the pieces are read off
+from the end.  Long units are first cut wherever no piece holds the two signs
+beside each other, so that no merge can cross the cut.
 
 For a unigram file the candidate of the highest total score is best.  For a BPE
 file plain maxima would not give the file's own ids, so a candidate only counts
 if BPE would leave it and the piece before it side by side.  That is decided
 from the two pieces alone: their merges are undone, latest first, and no merge
 across the border may come earlier than those undone.  Exactly one candidate of
-each position passes, so ids equal those of the reference implementation.
+each position passes, so ids equal those of the reference implementation.  Pairs
+looked at are remembered in a table of fixed size.
+
+Decoding gathers the bytes of all pieces of a batch at once.
+
+Files that rewrite the text before they encode it (a normaliser, folded spaces)
+or whose merge order is ambiguous (pieces defined by a user) are refused.
 
 Cases: null text is empty and has no ids.  Signs without a piece become the
 pieces of their bytes.  Unit caches are cleared at a fixed size, so memory
@@ -40,10 +48,22 @@ MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CACHE = 1 << 18
+SPREAD = np.uint64(0xD1B54A32D192ED03)
 NO_LIMIT = np.int64(1 << 40)
+LONG = 64  # signs of a unit that is cut
+MAYBE_BITS = 20
+PAIR_BITS = 20
+#: What a normaliser would change: ligature, fraction, full width, case, spaces, composition
+PROBE = "  \ufb01 \u00bd \uff21 Bb  e\u0301 "
 PIECE_BYTES = 2 << 20
 
 
+def _leading(hashes: np.ndarray) -> np.ndarray:
+    """The leading bits by which pieces are sorted and found."""
+    with np.errstate(over="ignore"):
+        return (hashes * SPREAD) >> np.uint64(64 - MAYBE_BITS)
+
+
 def _hash(points: np.ndarray) -> np.uint64:
     total = np.uint64(0)
     with np.errstate(over="ignore"):
@@ -58,7 +78,7 @@ class Vocabulary:
 
     unigram: bool
     prefix: bool
-    hashes: np.ndarray  # sorted
+    hashes: np.ndarray  # sorted by leading bits
     ids: np.ndarray
     scores: np.ndarray
     ranks: np.ndarray  # order of merging, from the scores
@@ -68,13 +88,23 @@ class Vocabulary:
     usable: np.ndarray  # BPE reaches the piece
     longest: int
     byte_ids: np.ndarray
-    texts: list[str]  # by id
-    byte_of: np.ndarray  # by id, -1 if not a byte piece
     powers: np.ndarray  # of the base, up to the longest piece
+    maybe: np.ndarray  # by leading bits of a hash: some piece has them,
+    first: np.ndarray  # the first hash that has them or more,
+    deepest: int  # and the most that share them
+    inner: np.ndarray  # sorted pairs of signs that stand side by side in some piece
+    data: np.ndarray  # bytes of all pieces by id, end to end
+    begins: np.ndarray
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        """The number of the piece of each hash, or -1."""
+        at = self.first[_leading(hashes)]
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        for _ in range(self.deepest):
+            here = np.flatnonzero(self.hashes[at] == hashes)
+            out[here] = at[here]
+            at = np.minimum(at + 1, len(self.hashes) - 1)
+        return out
 
 
 def _merge_tree(texts: list[str], rank: dict[str, int]) -> dict[str, tuple[str, str]]:
@@ -121,7 +151,7 @@ def load(path: str) -> Vocabulary:
     unigram = not np.array_equal(scores, np.round(scores))
     points = [np.array([ord(c) for c in texts[i]]) for i in normal]
     hashes = np.array([_hash(p) for p in points], dtype=np.uint64)
-    order = np.argsort(hashes)
+    order = np.argsort(_leading(hashes), kind="stable")
     number = {texts[normal[o]]: k for k, o in enumerate(order.tolist())}
     rank = {texts[i]: int(round(-s)) for i, s in zip(normal, scores.tolist(), strict=True)}
     tree = {} if unigram else _merge_tree([texts[i] for i in normal if len(texts[i]) > 1], rank)
@@ -135,17 +165,38 @@ def load(path: str) -> Vocabulary:
             usable[k] = False
     lengths = np.array([len(p) for p in points])[order]
     plain = model.encode("a", out_type=str)
+    if model.decode(model.encode(PROBE)) != PROBE:
+        raise ValueError("the file changes texts before it encodes them")
+    merged = [rank[t] for t in tree if t.strip(MARK)]  # runs of marks may share one
+    if len(set(merged)) < len(merged):
+        raise ValueError("two merges of the file have the same rank")
+    maybe = np.zeros(1 << MAYBE_BITS, dtype=bool)
+    maybe[_leading(hashes)] = True
+    leading = _leading(hashes[order]).astype(np.int64)
+    first = np.searchsorted(leading, np.arange(1 << MAYBE_BITS)).clip(max=len(order) - 1)
+    inner = np.unique(np.concatenate([_pairs(p) for p in points]))
+    shown = [
+        bytes([b]) if b >= 0 else t.replace(MARK, " ").encode()
+        for t, b in zip(texts, byte_of.tolist(), strict=True)
+    ]
+    begins = np.concatenate([[0], np.cumsum([len(b) for b in shown])])
     return Vocabulary(
         unigram, plain[0].startswith(MARK), hashes[order], np.array(normal)[order], scores[order],
         np.round(-scores[order]).astype(np.int64), lengths, left, right, usable,
-        int(lengths.max()), byte_ids, texts, byte_of, _powers(int(lengths.max())),
+        int(lengths.max()), byte_ids, _powers(int(lengths.max())), maybe,
+        first.astype(np.int32), int(np.bincount(leading).max()), inner,
+        np.frombuffer(b"".join(shown), dtype=np.uint8), begins,
     )
 
 
+def _pairs(points: np.ndarray) -> np.ndarray:
+    """Each sign and the next as one number."""
+    points = points.astype(np.int64)
+    return (points[:-1] << 21) | points[1:]
+
+
 def stays_apart(v: Vocabulary, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Whether BPE leaves each pair of pieces side by side; each pair is looked at once."""
-    pair, back = np.unique(first * len(v.hashes) + second, return_inverse=True)
-    first, second = pair // len(v.hashes), pair % len(v.hashes)
+    """Whether BPE leaves each pair of pieces side by side."""
     good = np.ones(len(first), dtype=bool)
     open_, a, b = np.arange(len(first)), first.copy(), second.copy()
     limit = np.full(len(first), NO_LIMIT)
@@ -163,7 +214,29 @@ def stays_apart(v: Vocabulary, first: np.ndarray, second: np.ndarray) -> np.ndar
         undo_a = ~whole_a & (whole_b | (v.ranks[a] > v.ranks[b]))
         limit = np.where(undo_a, v.ranks[a], v.ranks[b] + 1)
         a, b = np.where(undo_a, v.right[a], a), np.where(undo_a, b, v.left[b])
-    return good[back]
+    return good
+
+
+class Borders:
+    """``stays_apart`` with the answers remembered, one pair a slot."""
+
+    def __init__(self, v: Vocabulary) -> None:
+        self.v = v
+        self.slots = np.full(1 << PAIR_BITS, -1, dtype=np.int64)  # 2 * pair + answer
+
+    def apart(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        pair = first * len(self.v.hashes) + second
+        with np.errstate(over="ignore"):
+            slot = (pair.astype(np.uint64) * BASE) >> np.uint64(64 - PAIR_BITS)
+        held = self.slots[slot]
+        good = (held & 1).astype(bool)
+        new = np.flatnonzero((held >> 1) != pair)
+        if len(new):
+            fresh, back = np.unique(pair[new], return_inverse=True)
+            answer = stays_apart(self.v, fresh // len(self.v.hashes), fresh % len(self.v.hashes))
+            good[new] = answer[back]
+            self.slots[slot[new]] = 2 * pair[new] + good[new]
+        return good
 
 
 def _powers(n: int) -> np.ndarray:
@@ -174,35 +247,45 @@ def _powers(n: int) -> np.ndarray:
     return out
 
 
-def encode_equal(v: Vocabulary, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def encode_equal(
+    v: Vocabulary, points: np.ndarray, borders: Borders
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids of units of one length, end to end, and how many each unit has."""
     n, length = points.shape
     sums = np.zeros((length + 1, n), dtype=np.uint64)
     last = np.full((length + 1, n), -1, dtype=np.int32)
     back = np.ones((length + 1, n), dtype=np.int32)
-    total = np.zeros((length + 1, n))
-    with np.errstate(over="ignore"):
-        for j in range(1, length + 1):
-            sums[j] = sums[j - 1] * BASE + points[:, j - 1].astype(np.uint64) + np.uint64(1)
+    total = np.zeros((length + 1 if v.unigram else 1, n))
+    least = v.scores.min() - 10
+    signs = points.T.astype(np.uint64) + np.uint64(1)
+    for j in range(1, length + 1):
+        most = min(j, v.longest)
+        with np.errstate(over="ignore"):
+            sums[j] = sums[j - 1] * BASE + signs[j - 1]
+            # Row s holds the substrings of s + 1 signs that end here
+            hashes = (sums[j] - sums[j - most : j][::-1] * v.powers[1 : most + 1, None]).ravel()
+        at = np.flatnonzero(v.maybe[_leading(hashes)])
+        number = v.find(hashes[at])
+        fits = (number >= 0) & v.usable[number]
+        at, number = at[fits], number[fits]
+        size, row = at // n + 1, at % n
+        if v.unigram:
             # A sign without a piece is always a way on
-            best = total[j - 1] + v.scores.min() - 10 if v.unigram else np.full(n, -np.inf)
-            for size in range(1, min(j, v.longest) + 1):
-                i = j - size
-                number = v.find(sums[j] - sums[i] * v.powers[size])
-                row = np.flatnonzero(number >= 0)
-                number = number[row]
-                fits = v.usable[number]
-                if not v.unigram and i:
-                    check = np.flatnonzero(fits & (last[i][row] >= 0))
-                    fits[check] = stays_apart(
-                        v, last[i][row[check]].astype(np.int64), number[check]
-                    )
-                row, number = row[fits], number[fits]
-                score = v.scores[number] + (total[i][row] if v.unigram else 0.0)
-                better = score > best[row]
-                row, number = row[better], number[better]
-                best[row], back[j][row], last[j][row] = score[better], size, number
-            total[j] = best
+            total[j] = total[j - 1] + least
+            score = v.scores[number] + total[j - size, row]
+            fits = score > total[j][row]
+        else:
+            before = last[j - size, row].astype(np.int64)
+            fits = before < 0
+            check = np.flatnonzero(~fits)
+            fits[check] = borders.apart(before[check], number[check])
+            score = v.scores[number]
+        size, row, number, score = size[fits], row[fits], number[fits], score[fits]
+        order = np.lexsort((-size, score))  # of several the best, of equal ones the shortest, is written last
+        size, row, number = size[order], row[order], number[order]
+        back[j, row], last[j, row] = size, number
+        if v.unigram:
+            total[j, row] = score[order]
     # Read off from the end, all units a piece at a time
     rows, places, values = [], [], []
     row, at = np.arange(n), np.full(n, length)
@@ -233,6 +316,7 @@ class Encoder:
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
+        self.borders = Borders(v)
         self.clear()
 
     def clear(self) -> None:
@@ -251,16 +335,31 @@ class Encoder:
                 block = group[at : at + step]
                 data = "".join(block).encode("utf-32-le", "surrogatepass")
                 points = np.frombuffer(data, dtype=np.uint32).reshape(len(block), length)
-                found, number = encode_equal(self.v, points)
+                found, number = encode_equal(self.v, points, self.borders)
                 ids.append(found)
                 counts.append(number)
                 self.known.update(zip(block, range(len(self.known), len(self.known) + len(block)), strict=True))
         self.ids, self.counts = np.concatenate(ids), np.concatenate(counts)
 
+    def _cut(self, units: list[str]) -> list[str]:
+        """The units, long ones cut where no piece crosses."""
+        if max(map(len, units), default=0) <= LONG:
+            return units
+        out: list[str] = []
+        for unit in units:
+            if len(unit) <= LONG:
+                out.append(unit)
+                continue
+            points = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+            cuts = np.flatnonzero(~np.isin(_pairs(points), self.v.inner)) + 1
+            bounds = [0, *cuts.tolist(), len(unit)]
+            out.extend(unit[b:e] for b, e in zip(bounds[:-1], bounds[1:], strict=True))
+        return out
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, end to end, and how many each text has."""
         lead = MARK if self.v.prefix else ""
-        units = [UNIT.findall(lead + t.replace(" ", MARK)) if t else [] for t in texts]
+        units = [self._cut(UNIT.findall(lead + t.replace(" ", MARK))) if t else [] for t in texts]
         if len(self.known) > CACHE:
             self.clear()
         self._learn(set().union(*units) - self.known.keys())
@@ -277,22 +376,17 @@ class Encoder:
         return self.ids[flat], per_text.astype(np.int64)
 
 
-def decode(v: Vocabulary, ids: np.ndarray) -> str:
-    """The text of ids; bytes that are no UTF-8 become replacement marks."""
-    out: list[str] = []
-    held = bytearray()
-    for i in ids.tolist():
-        byte = int(v.byte_of[i])
-        if byte >= 0:
-            held.append(byte)
-            continue
-        if held:
-            out.append(held.decode("utf-8", "replace"))
-            held = bytearray()
-        out.append(v.texts[i])
-    out.append(held.decode("utf-8", "replace"))
-    text = "".join(out).replace(MARK, " ")
-    return text[1:] if v.prefix and text.startswith(" ") else text
+def decode(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+    """The texts of ids end to end; bytes that are no UTF-8 become replacement marks."""
+    sizes = v.begins[ids + 1] - v.begins[ids]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    data = v.data[np.arange(ends[-1]) + np.repeat(v.begins[ids] - ends[:-1], sizes)].tobytes()
+    places = ends[bounds].tolist()
+    out = []
+    for begin, end in zip(places[:-1], places[1:], strict=True):
+        text = data[begin:end].decode("utf-8", "replace").replace(MARK, " ")
+        out.append(text[1:] if v.prefix and text.startswith(" ") else text)
+    return out
 
 
 def encode_batches(
@@ -318,8 +412,8 @@ def encode_batches(
             names = [*whole.schema.names, "n_ids", "ids"]
             if check:
                 same = [
-                    decode(v, flat[b:e]) == (t or "").replace(MARK, " ")
-                    for b, e, t in zip(bounds[:-1], bounds[1:], texts, strict=True)
+                    back == (t or "").replace(MARK, " ")
+                    for back, t in zip(decode(v, flat, bounds), texts, strict=True)
                 ]
                 columns.append(pa.array(same, pa.bool_()))
                 names.append("round_trip")
@@ -346,12 +440,12 @@ def with_ids(df: DataFrame, path: str, text: str = "text", check: bool = False)
 
 def decode_batches(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(1)
-        texts = [
-            decode(v, np.array(x, dtype=np.int64)) if x is not None else None
-            for x in ids.to_pylist()
-        ]
-        yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], ["key", "text"])
+        lists = batch.column(1)
+        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        texts = pa.array(decode(v, flat, bounds), pa.string(), mask=lists.is_null().to_numpy(False))
+        yield pa.record_batch([batch.column(0), texts], ["key", "text"])
 
 
 def decoded(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

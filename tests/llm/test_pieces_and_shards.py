@@ -39,6 +39,22 @@ def test_ids_equal_the_library(spark, library):
     assert sentence.with_ids(df.limit(0), piece_file()).count() == 0
 
 
+def test_endless_units_and_ids_that_are_no_text(spark, library):
+    rng = random.Random(2)
+    signs = [chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3000)]
+    code = "".join(rng.choices("ABCDEFabcdef0123456789+/", k=20000))
+    texts = ["".join(rng.choices(signs, k=60000)), code, "é" * 4000, "\U0001f600" * 3000 + "a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sentence.with_ids(df, piece_file(), check=True).collect():
+        assert r.ids == library.encode(r.text) and r.round_trip
+    lists = [[], None, [200], [200, 131, 300, 3 + 0xE2, 3 + 0x96], [3 + 0xF0, 3 + 0x9F, 5000], [29871]]
+    df = spark.createDataFrame(list(enumerate(lists)), "doc_id long, ids array<int>")
+    back = {r.doc_id: r.text for r in sentence.decoded(df, piece_file()).collect()}
+    assert back[1] is None and back[0] == back[5] == ""
+    for i in (2, 3, 4):
+        assert back[i] == library.decode(lists[i])
+
+
 def test_table_fills_in_turns():
     names = [f"n{i}" for i in range(7)]
     table = sharding.fill_table(names, 251)
