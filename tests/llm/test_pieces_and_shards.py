@@ -47,7 +47,7 @@ def test_endless_units_and_ids_that_are_no_text(spark, library):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in sentence.with_ids(df, piece_file(), check=True).collect():
         assert r.ids == library.encode(r.text) and r.round_trip
-    lists = [[], None, [200], [200, 131, 300, 3 + 0xE2, 3 + 0x96], [3 + 0xF0, 3 + 0x9F, 5000], [29871]]
+    lists = [[], None, [200], [200, 131, 300, 3 + 0xE2, 3 + 0x96], [3 + 0xF0, 3 + 0x9F, 5000], [library.piece_to_id("▁")]]
     df = spark.createDataFrame(list(enumerate(lists)), "doc_id long, ids array<int>")
     back = {r.doc_id: r.text for r in sentence.decoded(df, piece_file()).collect()}
     assert back[1] is None and back[0] == back[5] == ""
