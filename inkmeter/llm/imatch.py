@@ -3,18 +3,20 @@
 A text's terms are its distinct words, lower-cased.  Terms are kept within a
 band of inverse document frequency: those in more than ``common`` of all
 documents say little, those in less than ``rare`` of them are mostly noise.
-Both ends are shares of the corpus, so the lexicon is bounded: a term of it is
+Both ends are shares of the corpus, so the band is bounded: a term of it is
 in at least a share of all documents, hence there are at most (distinct terms
-of a mean document) / rare of them, however large the corpus.  Only where the
-band really holds more than ``most_terms``, the rare end is raised until it does
-not, but never beyond the most frequent terms of the band.  The lexicon
-is a hash table inside the plan, so fingerprinting a row moves nothing.
-
-Each of several randomised lexicons is a series of nested random subsets of the
-lexicon, each half the one before.  A text uses the sparsest subset that still
-holds one of its terms; the fingerprint has one hash for each series, of the
-sorted terms in that subset.  The likeness of two texts is the share of equal
-hashes.
+of a mean document) / rare of them, however large the corpus.  Up to
+``most_terms`` of them are a hash table inside the plan, and fingerprinting a
+row moves nothing; more are joined to the distinct texts' terms.  Both ways
+give the same fingerprints, and no term of the band is left out.
+
+The lexicons are random subsets of the band, the same for all documents: eight
+for each of four shares, a quarter to a 256th of the band.  A fingerprint has
+one hash for each lexicon, of all the text's sorted terms in it.  A hash
+survives an edit when no changed term is in its lexicon, so the sparse ones
+tell how much large edits have left and the dense ones see small edits.  The
+likeness of two texts is the share of equal hashes.  A text without terms in a
+lexicon takes a hash of all its terms there: having none in common is not alike.
 
 Cases: null text is empty.  A text without terms in the band uses all its
 terms; one without words hashes its white space, so that equal texts, and no
@@ -36,7 +38,8 @@ from inkmeter.llm.staging import WORD_BREAK, stage
 COMMON = 1 / 50
 RARE = 1 / 2000
 MOST_TERMS = 1 << 17
-SERIES = 16
+#: One lexicon each; it holds one in 2**bits of the terms
+LEXICON_BITS = (2,) * 8 + (4,) * 8 + (6,) * 8 + (8,) * 8
 SEED = 3
 NEIGHBOUR_RANGES = 4096
 
@@ -47,52 +50,48 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def lexicon(
-    docs: DataFrame,
-    text: str = "text",
-    common: float = COMMON,
-    rare: float = RARE,
-    most_terms: int = MOST_TERMS,
-) -> list[int]:
-    """Hashes of the terms whose document frequency lies in the band."""
+def band(
+    docs: DataFrame, text: str = "text", common: float = COMMON, rare: float = RARE
+) -> DataFrame:
+    """The terms (their hashes) whose document frequency lies in the band."""
     found = docs.select(terms(F.coalesce(F.col(text), F.lit(""))).alias("terms"))
-    often = stage(
+    rows = docs.count()
+    return stage(
         found.select(F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("documents"))
+        .where(
+            (F.col("documents") >= math.ceil(rare * rows))
+            & (F.col("documents") <= max(1, math.floor(common * rows)))
+        )
+        .select("term")
     )
-    rows = docs.count()
-    band = often.where(
-        (F.col("documents") >= math.ceil(rare * rows))
-        & (F.col("documents") <= max(1, math.floor(common * rows)))
-    )
-    if band.count() > most_terms:
-        # One row for each frequency in the band
-        sizes = band.groupBy("documents").agg(F.count("*").alias("terms")).collect()
-        sizes = sorted(((r["documents"], r["terms"]) for r in sizes), reverse=True)
-        least, held = sizes[0]
-        for documents, count in sizes[1:]:
-            held += count
-            if held > most_terms:
-                break
-            least = documents
-        band = band.where(F.col("documents") >= least)
-    return [r["term"] for r in band.select("term").collect()]
 
 
 class Fingerprinter:
-    """The fingerprint of a text as a column expression over one lexicon."""
-
-    def __init__(self, lexicon_terms: list[int], series: int = SERIES, seed: int = SEED) -> None:
+    """The fingerprint of a text over the terms of one band."""
+
+    def __init__(
+        self,
+        kept: DataFrame,
+        most_terms: int = MOST_TERMS,
+        lexicon_bits: tuple[int, ...] = LEXICON_BITS,
+        seed: int = SEED,
+    ) -> None:
+        self.kept, self.lexicon_bits, self.seed = kept, lexicon_bits, seed
+        held = kept.count()
+        self.in_plan = held <= most_terms
+        if not self.in_plan:
+            return
         slots = 1
-        while slots < len(lexicon_terms):
+        while slots < held:
             slots *= 2
         table: list[list[int]] = [[] for _ in range(slots)]
-        for term in lexicon_terms:
-            table[term % slots].append(term)
+        for row in kept.collect():  # at most most_terms
+            table[row["term"] % slots].append(row["term"])
         # Folded into one constant when the plan is optimised
         self.table = F.from_json(F.lit(json.dumps(table)), "array<array<bigint>>")
-        self.slots, self.series, self.seed = slots, series, seed
+        self.slots = slots
 
     def _in_band(self, found: Column) -> Column:
         def known(term: Column) -> Column:
@@ -101,24 +100,43 @@ class Fingerprinter:
 
         return F.filter(found, known)
 
-    def _one(self, used: Column, i: int) -> Column:
-        """The hash of the terms in the sparsest subset of series i that holds one."""
+    def _joined(self, df: DataFrame, text: str, out: str) -> DataFrame:
+        """The rows with the terms of the band, looked up by a join."""
+        key = F.sha2(F.col(text), 256)
+        texts = df.select(key.alias("text_key"), terms(F.col(text)).alias("terms"))
+        # A text's own terms are what one group holds; the band is bounded, see above
+        found = (
+            texts.dropDuplicates(["text_key"])
+            .select("text_key", F.explode("terms").alias("term"))
+            .join(F.broadcast(self.kept), "term")
+            .groupBy(F.col("text_key").alias(f"{out}_key"))
+            .agg(F.collect_list("term").alias(f"{out}_found"))
+        )
+        return df.join(found, key == F.col(f"{out}_key"), "left").withColumn(
+            f"{out}_band", F.coalesce(f"{out}_found", F.array().cast("array<bigint>"))
+        )
+
+    def _one(self, used: Column, whole: Column, i: int) -> Column:
+        """The hash of the terms in lexicon i."""
+        mask = F.lit((1 << self.lexicon_bits[i]) - 1)
 
-        def place(term: Column) -> Column:
-            return F.shiftrightunsigned(F.xxhash64(term, F.lit(self.seed + i)), 1)
+        def member(term: Column) -> Column:
+            return F.xxhash64(term, F.lit(self.seed + i)).bitwiseAND(mask) == 0
 
-        least = F.array_min(F.transform(used, place))
-        bound = F.pow(F.lit(2.0), F.floor(F.log2(least + F.lit(1.0))) + 1)
-        # An array of one binds the bound, or it would be computed anew for each term
+        # An array of one binds the terms, or they would be filtered twice
         return F.transform(
-            F.array(bound), lambda most: F.xxhash64(F.filter(used, lambda t: place(t) < most))
+            F.array(F.filter(used, member)),
+            lambda held: F.when(F.size(held) > 0, F.xxhash64(held)).otherwise(
+                F.xxhash64(whole, F.lit(i))
+            ),
         )[0]
 
     def columns(self, df: DataFrame, text: str, out: str) -> DataFrame:
         """The rows with ``out``: the series' hashes as an array of longs."""
-        found = df.withColumn(f"{out}_all", terms(F.col(text))).withColumn(
-            f"{out}_band", self._in_band(F.col(f"{out}_all"))
-        )
+        looked_up = df if self.in_plan else self._joined(df, text, out)
+        found = looked_up.withColumn(f"{out}_all", terms(F.col(text)))
+        if self.in_plan:
+            found = found.withColumn(f"{out}_band", self._in_band(F.col(f"{out}_all")))
         used = found.withColumn(
             f"{out}_used",
             F.sort_array(
@@ -128,7 +146,11 @@ class Fingerprinter:
             ),
         )
 
-        hashes = [self._one(F.col(f"{out}_used"), i) for i in range(self.series)]
+        used = used.withColumn(f"{out}_whole", F.xxhash64(f"{out}_used"))
+        hashes = [
+            self._one(F.col(f"{out}_used"), F.col(f"{out}_whole"), i)
+            for i in range(len(self.lexicon_bits))
+        ]
         return used.withColumn(out, F.array(*hashes)).select(*df.columns, out)
 
 
@@ -136,10 +158,10 @@ def as_text(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def likeness(a: Column, b: Column, series: int = SERIES) -> Column:
-    """Share of the series on which two fingerprints agree."""
+def likeness(a: Column, b: Column) -> Column:
+    """Share of the lexicons on which two fingerprints agree."""
     equal = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(equal, F.lit(0), lambda s, x: s + x) / F.lit(float(series))
+    return F.aggregate(equal, F.lit(0), lambda s, x: s + x) / F.size(a).cast("double")
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:
@@ -198,14 +220,19 @@ def with_next(docs: DataFrame, key: str, text: str, ranges: int = NEIGHBOUR_RANG
 
 
 def fingerprint_edits(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", **options  # noqa: ANN003
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    common: float = COMMON,
+    rare: float = RARE,
+    most_terms: int = MOST_TERMS,
 ) -> DataFrame:
     """Fingerprints of each text, of its edited text, and their likeness.
 
     The edited text has its last half replaced by as much of the next document,
     in descending order of ids.
     """
-    make = Fingerprinter(lexicon(docs, text, **options))
+    make = Fingerprinter(band(docs, text, common, rare), most_terms)
     order = Window.partitionBy("part").orderBy(
         "ghost", F.col("id").desc_nulls_last(), F.col("text")
     )
@@ -223,6 +250,8 @@ def fingerprint_edits(
         )
         .drop("next_text")
     )
+    if not make.in_plan:
+        rows = stage(rows)  # read by the lookups of both texts and by what they join
     printed = make.columns(make.columns(rows, "text", "print"), "edited", "edited_print")
     return (
         printed.withColumn("next_print", F.lead("print").over(order))

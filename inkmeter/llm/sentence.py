@@ -31,6 +31,7 @@ Result columns replace columns of the same name.
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -376,15 +377,22 @@ class Encoder:
         return self.ids[flat], per_text.astype(np.int64)
 
 
+def _mark_each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
+    return "\ufffd" * (error.end - error.start), error.end
+
+
+codecs.register_error("mark_each_byte", _mark_each_byte)
+
+
 def decode(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
-    """The texts of ids end to end; bytes that are no UTF-8 become replacement marks."""
+    """The texts of ids end to end; each byte that is no UTF-8 becomes a replacement mark."""
     sizes = v.begins[ids + 1] - v.begins[ids]
     ends = np.concatenate([[0], np.cumsum(sizes)])
     data = v.data[np.arange(ends[-1]) + np.repeat(v.begins[ids] - ends[:-1], sizes)].tobytes()
     places = ends[bounds].tolist()
     out = []
     for begin, end in zip(places[:-1], places[1:], strict=True):
-        text = data[begin:end].decode("utf-8", "replace").replace(MARK, " ")
+        text = data[begin:end].decode("utf-8", "mark_each_byte").replace(MARK, " ")
         out.append(text[1:] if v.prefix and text.startswith(" ") else text)
     return out
 

@@ -2,12 +2,15 @@
 
 import hashlib
 import math
+import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from inkmeter.llm import imatch, importance, mixture, pii, ppm
 
@@ -53,21 +56,61 @@ def test_fingerprints_of_texts_and_edits(docs, empty):
     assert imatch.fingerprint_edits(empty).count() == 0
 
 
-def test_lexicon_is_the_whole_band_where_it_fits(spark):
-    def words(i):
-        pairs = [f"pair{i // 2}x{j}" for j in range(10)]
-        tens = [f"ten{i // 10}x{j}" for j in range(2)]
-        return " ".join(pairs + tens + [f"own{i}x{j}" for j in range(50)])
+def chained(values, seed=42):
+    for x in values:
+        seed = xxhash.xxh64_intdigest(x, seed=seed)
+    return seed
+
+
+def brute_prints(texts, common, rare):
+    """Fingerprints by sets: the band, the lexicons, one hash a lexicon."""
+    words = [{w.lower() for w in WORDS.findall(t)} for t in texts]
+    often = Counter(w for ws in words for w in ws)
+    least, most = math.ceil(rare * len(texts)), max(1, math.floor(common * len(texts)))
+    kept = {w for w, n in often.items() if least <= n <= most}
+
+    def signed(h):
+        return h - (1 << 64) if h >> 63 else h
+
+    def one(text):
+        found = {w.lower() for w in WORDS.findall(text)}
+        found = (found & kept) or found
+        used = sorted(signed(chained([w.encode()])) for w in found)
+        used = used or [signed(chained([text.encode(), b"no words"]))]
+        used = [struct.pack("<q", t) for t in used]
+        out = []
+        for i, bits in enumerate(imatch.LEXICON_BITS):
+            seed = struct.pack("<i", imatch.SEED + i)
+            held = [t for t in used if chained([t, seed]) % (1 << bits) == 0]
+            whole = struct.pack("<Q", chained(used))
+            out.append(chained(held) if held else chained([whole, struct.pack("<i", i)]))
+        return "".join(f"{h:016X}" for h in out)
+
+    return one
+
+
+@pytest.mark.parametrize("most_terms", [1 << 17, 3])
+def test_fingerprints_equal_brute_force(spark, most_terms):
+    rng = random.Random(4)
+    base = [" ".join(f"w{int(rng.paretovariate(0.4)) % 900}" for _ in range(60)) for _ in range(80)]
+    texts = base + [base[0], base[1] + " another", "", " \n", "  ", "w1 w2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = imatch.fingerprint_edits(df, common=0.2, rare=0.02, most_terms=most_terms).collect()
+    one = brute_prints(texts, 0.2, 0.02)
+    assert len(got) == len(texts)
+
+    def alike(a, b):
+        return sum(a[i : i + 16] == b[i : i + 16] for i in range(0, len(a), 16)) / (len(a) / 16)
 
-    df = spark.createDataFrame([(i, words(i)) for i in range(100)], "doc_id long, text string")
-
-    def size(most_terms):
-        return len(set(imatch.lexicon(df, common=0.5, rare=0.02, most_terms=most_terms)))
-
-    # 500 terms are in two documents, 20 in ten; what is rarer than the band counts for nothing
-    assert size(1000) == size(520) == 520
-    assert size(519) == size(20) == 20
-    assert size(10) == 20
+    for r in got:
+        text, following = texts[r.doc_id], texts[r.doc_id - 1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        assert r.fingerprint == one(text) and r.edited_fingerprint == one(edited)
+        assert r.near_edited == pytest.approx(alike(one(text), one(edited)))
+        assert r.near_next == pytest.approx(alike(one(text), one(following)))
+    prints = {r.doc_id: r.fingerprint for r in got}
+    assert prints[0] == prints[80] and alike(prints[1], prints[81]) > 0.5
 
 
 def test_ranges_find_every_neighbour(spark):
