@@ -11,7 +11,7 @@ from checks.duck import FEED_COLUMNS, RUN_TS, oracle
 from inkmeter.functions import catalog as c
 from inkmeter.functions.keys import content_hash, surrogate_key
 from inkmeter.operators import cdc, history, scope
-from inkmeter.plans import staging
+from inkmeter.plans import nightly, staging
 from inkmeter.sources import corpus as corpus_source
 from inkmeter.sources import keyed, tables
 from inkmeter.streaming import landing
@@ -282,6 +282,38 @@ def outcome_log(spark, sf_dir):
     return b.as_text(tables.read_table(spark, name), "first_seen", "last_changed")
 
 
+_NIGHTS = ("2030-01-01 00:00:00", "2030-01-02 00:00:00")
+
+
+@check(oracle(f"""
+    SELECT n.run_ts, 'catalog_refresh' AS run_type, (SELECT count(*) FROM catalog) AS books_in_catalog,
+           (SELECT count(*) FROM roster r ANTI JOIN ledger l USING (catalog_id)) AS candidate_new,
+           (SELECT count(*) FROM roster r JOIN ledger l USING (catalog_id)
+            WHERE l.catalog_row_hash <> r.catalog_row_hash) AS candidate_changed,
+           CASE WHEN n.run_ts = '{_NIGHTS[0]}' THEN (SELECT count(*) FROM corpus) ELSE 0 END AS measured
+    FROM (VALUES ('{_NIGHTS[0]}'), ('{_NIGHTS[1]}')) n(run_ts)""", "catalog", "ledger", "roster", "corpus"))
+def nightly_run(spark, sf_dir):
+    """Two nights over kept tables; the second finds nothing to write."""
+    names = nightly.Tables(f"inkmeter_nights_{uuid.uuid4().hex}")
+    feed, seen = b.catalog(spark, sf_dir), b.ledger(spark, sf_dir)
+    nightly.create_tables(spark, names, feed, 16)
+    keyed.replace_keys(spark, names.ledger, seen, seen.select("catalog_id"))
+    corpus = b.corpus(spark, sf_dir).select("work_id", "is_self", "text")
+    for night in _NIGHTS:
+        folder = f"{b.run_folder(spark)}/night-{uuid.uuid4().hex}"
+        nightly.nightly_run(spark, names, feed, corpus, _manifest(spark, sf_dir), night, folder)
+    measured = (
+        keyed.read_keyed(spark, names.measurements)
+        .groupBy(F.col("loaded_at").alias("run_ts"))
+        .agg(F.count_distinct("work_id").alias("measured"))
+    )
+    audit = keyed.read_keyed(spark, names.audit).join(measured, "run_ts", "left")
+    return b.as_text(audit, "run_ts").select(
+        "run_ts", "run_type", "books_in_catalog", "candidate_new", "candidate_changed",
+        F.coalesce("measured", F.lit(0)).alias("measured"),
+    )
+
+
 @check(_with_processed("SELECT status, count(*) AS works FROM processed GROUP BY status"))
 def status_counts(spark, sf_dir):
     return cdc.status_counts(_processed(spark, sf_dir))

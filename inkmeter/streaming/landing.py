@@ -116,6 +116,8 @@ def ingest_landed(
 ) -> None:
     """Ingest every file landed since the last run into the ledger table, then stop.
 
+    Files are remembered by their path, so a text that is fetched again has to
+    land in another folder below the landing folder, such as one a run.
     ``log`` is the folder of the outcome log, beside the checkpoint unless
     given.  ``files_per_batch`` bounds a micro-batch; without it a run is one.
     """
@@ -127,6 +129,7 @@ def ingest_landed(
 
     reader = spark.readStream.format("binaryFile").schema(LANDED_SCHEMA)
     reader = reader.option("pathGlobFilter", "*.txt")
+    reader = reader.option("recursiveFileLookup", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
