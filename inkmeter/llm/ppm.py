@@ -16,11 +16,8 @@ that any document holds: from its own context's row where training has seen the
 key, and by one join for each shorter order where not.  The keys that make up at
 least 1 / ``most_keys`` of all symbols, hence at most that many, are looked up
 in a broadcast table; the rest are joined with their shares by key.  As those
-are rare, no key of that join is common.
-
-Where ``most_nodes`` is given, entries of order two and up count as unseen
-unless they make up at least 1 / ``most_nodes`` of all training symbols; what is
-left out of a context counts as escaping from it.
+are rare, no key of that join is common.  One pass over the texts adds up what
+the tables hold and keeps, in the document's row, what they do not.
 
 The base adds log10((c + 1) / (N + V + 1)) over tokens.  Tokens that make up at
 least 1 / ``most_head`` of the training text, so at most that many, are looked
@@ -47,8 +44,8 @@ from inkmeter.llm.staging import stage
 from inkmeter.llm.wordhash import FOLD, SPACE, Words, pieces, string_bytes, words_of
 
 ORDER = 5
-MOST_KEYS = 1 << 21
-MOST_HEAD = 1 << 17
+MOST_KEYS = 1 << 22
+MOST_HEAD = 1 << 20
 END, START = 256, 257
 SYMBOLS = 257
 BITS = 9
@@ -151,7 +148,7 @@ class Lookup:
     """Numbers of known keys, by open addressing, for many keys at once."""
 
     def __init__(self, keys: np.ndarray) -> None:
-        bits = max(4, int(np.ceil(np.log2(len(keys) + 1))) + 2)
+        bits = max(4, int(np.ceil(np.log2(len(keys) + 1))) + 1)
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.slots = np.full(1 << bits, -1, dtype=np.int64)
         self.numbers = np.full(1 << bits, -1, dtype=np.int32)
@@ -182,6 +179,34 @@ class Lookup:
         return number
 
 
+def counted(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of key and row, and how often each occurs, by row."""
+    order = np.lexsort((key, row))
+    key, row = key[order], row[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+    begin = np.flatnonzero(new)
+    return key[begin], row[begin], np.diff(np.append(begin, len(key)))
+
+
+def rest_of(words: tuple, contexts: tuple, rows: int) -> pa.ListArray:
+    """Each row's keys in neither table, from ``counted`` words and contexts."""
+    key, row, times = (np.concatenate(both) for both in zip(words, contexts, strict=True))
+    is_word = np.arange(len(key)) < len(words[0])
+    order = np.argsort(row, kind="stable")
+    entries = pa.StructArray.from_arrays(
+        [
+            pa.array(is_word[order]),
+            pa.array(key[order]),
+            pa.array(times[order].astype(np.int32)),
+        ],
+        ["is_word", "key", "times"],
+    )
+    bounds = np.zeros(rows + 1, dtype=np.int32)
+    np.cumsum(np.bincount(row, minlength=rows), out=bounds[1:])
+    return pa.ListArray.from_arrays(pa.array(bounds), entries)
+
+
 def score_batches(
     batches: Iterator[pa.RecordBatch],
     order: int,
@@ -191,23 +216,26 @@ def score_batches(
     head_logs: np.ndarray,
     end_log: float,
 ) -> Iterator[pa.RecordBatch]:
-    """text, id, row_key, held_out -> the last three, n_tokens, n_known, base_sum, score."""
+    """text, id, row_key, held_out -> the last three, sums over known keys, the rest's keys."""
     for whole in batches:
         for batch in pieces(whole, PIECE):
             rows = batch.num_rows
             words = words_of(batch.column(0))
             symbols, row = symbols_of(batch.column(0), words, order)
             at, keys = keys_of(symbols, order)
+            row = row[at]
             number = often.find(keys)
             known = number >= 0
             score = np.bincount(
-                row[at[known]], weights=often_shares[number[known]], minlength=rows
+                row[known], weights=often_shares[number[known]], minlength=rows
             )
-            number = head.find(words.hashes.view(np.int64))
+            contexts = counted(keys[~known], row[~known])
+            tokens = words.hashes.view(np.int64)
+            row = np.repeat(np.arange(rows), np.diff(words.rows))
+            number = head.find(tokens)
             known = number >= 0
-            row = np.repeat(np.arange(rows), np.diff(words.rows))[known]
-            base = np.bincount(row, weights=head_logs[number[known]], minlength=rows)
-            n_known = np.bincount(row, minlength=rows)
+            base = np.bincount(row[known], weights=head_logs[number[known]], minlength=rows)
+            n_known = np.bincount(row[known], minlength=rows)
             yield pa.record_batch(
                 [
                     *(batch.column(i) for i in (1, 2, 3)),
@@ -215,46 +243,12 @@ def score_batches(
                     pa.array(n_known + int(end_log > 0)),
                     pa.array(base + end_log),
                     pa.array(score, pa.float64()),
+                    rest_of(counted(tokens[~known], row[~known]), contexts, rows),
                 ],
-                ["id", "row_key", "held_out", "n_tokens", "n_known", "base_sum", "score"],
-            )
-
-
-def counted(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct pairs of key and row, and how often each occurs."""
-    order = np.lexsort((key, row))
-    key, row = key[order], row[order]
-    new = np.ones(len(key), dtype=bool)
-    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-    begin = np.flatnonzero(new)
-    return key[begin], row[begin], np.diff(np.append(begin, len(key)))
-
-
-def tail_batches(
-    batches: Iterator[pa.RecordBatch], order: int, often: Lookup, head: Lookup
-) -> Iterator[pa.RecordBatch]:
-    """text, row_key -> is_word, key, row_key, times: words and symbols in neither table."""
-    for whole in batches:
-        for batch in pieces(whole, PIECE):
-            words = words_of(batch.column(0))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(words.rows))
-            tokens = words.hashes.view(np.int64)
-            symbols, symbol_row = symbols_of(batch.column(0), words, order)
-            at, keys = keys_of(symbols, order)
-            for is_word, key, of, table in (
-                (True, tokens, row, head), (False, keys, symbol_row[at], often)
-            ):
-                rest = table.find(key) < 0
-                key, of, times = counted(key[rest], of[rest])
-                yield pa.record_batch(
-                    [
-                        pa.array(np.full(len(key), is_word)),
-                        pa.array(key),
-                        batch.column(1).take(pa.array(of)),
-                        pa.array(times.astype(np.int32)),
-                    ],
-                    ["is_word", "key", "row_key", "times"],
-                )
+                [
+                    "id", "row_key", "held_out", "n_tokens", "n_known", "base_sum", "score", "rest",
+                ],
+            )
 
 
 def _sum(entries: Column) -> Column:
@@ -283,9 +277,9 @@ def _after(missed: DataFrame, nodes: DataFrame, d: int) -> DataFrame:
     )
     symbol = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
     sums = left.withColumn("held", _sum(F.col("left"))).withColumn(
-        # What was left out escapes for sure, and every kind speaks for one unseen symbol
+        # Every kind speaks for one unseen symbol
         "escape",
-        F.col("total") - _sum(F.col("kept")) + F.col("kinds") - F.size("gone"),
+        F.size("kept") - F.size("gone"),
     )
     found = sums.withColumn(
         "found", F.get(F.filter("left", lambda e: e["symbol"] == symbol), F.lit(0))["times"]
@@ -303,7 +297,7 @@ def _after(missed: DataFrame, nodes: DataFrame, d: int) -> DataFrame:
     )
 
 
-def shares(rows: DataFrame, order: int, most_nodes: int | None = None) -> DataFrame:
+def shares(rows: DataFrame, order: int) -> DataFrame:
     """key, seen, share: each (context, symbol) of any text of ``rows`` (text, held_out).
 
     ``seen`` is how often all texts hold it, ``share`` the natural log of its
@@ -317,16 +311,9 @@ def shares(rows: DataFrame, order: int, most_nodes: int | None = None) -> DataFr
             F.sum("times").alias("seen"),
         )
     )
-    least = 0.0
-    if most_nodes is not None:
-        least = (counts.agg(F.sum("times")).first()[0] or 0) / most_nodes
     context = F.shiftright("key", BITS).alias("context")
     symbol = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("symbol")
 
-    def kept(entries: str, d: int) -> Column:
-        bound = F.lit(least if d > 1 else 0.0)
-        return F.filter(entries, lambda e: (e["times"] > 0) & (e["times"] >= bound))
-
     # A context has at most 257 symbols
     whole = (
         counts.groupBy(context)
@@ -335,15 +322,13 @@ def shares(rows: DataFrame, order: int, most_nodes: int | None = None) -> DataFr
             F.count_if(F.col("times") > 0).alias("kinds"),
             F.collect_list(F.struct(symbol, "times", "seen")).alias("all"),
         )
-        .withColumn("kept", kept("all", order))
-        .withColumn("symbols", _symbols(F.col("kept")))
-        .withColumn("escape", F.col("total") - _sum(F.col("kept")) + F.col("kinds"))
-        .select("context", "total", "kinds", "symbols", "escape", F.explode("all").alias("e"))
+        .withColumn("symbols", _symbols(F.filter("all", lambda e: e["times"] > 0)))
+        .select("context", "total", "kinds", "symbols", F.explode("all").alias("e"))
     )
     done = F.array_contains("symbols", F.col("e.symbol"))
     both = F.col("total") + F.col("kinds")
     share = F.when(done, F.col("e.times") / both).when(
-        F.size("symbols") > 0, F.col("escape") / both
+        F.size("symbols") > 0, F.col("kinds") / both
     )
     first = stage(
         whole.select(
@@ -359,15 +344,8 @@ def shares(rows: DataFrame, order: int, most_nodes: int | None = None) -> DataFr
     for d in range(order - 1, -1, -1):
         shorter = F.col("key").bitwiseAND(F.lit((1 << BITS * (d + 1)) - 1))
         counts = stage(counts.groupBy(shorter.alias("key")).agg(F.sum("times").alias("times")))
-        nodes = (
-            counts.groupBy(context)
-            .agg(
-                F.sum("times").alias("total"),
-                F.count("*").alias("kinds"),
-                F.collect_list(F.struct(symbol, "times")).alias("all"),
-            )
-            .select("context", "total", "kinds", kept("all", d).alias("kept"))
-            .where(F.size("kept") > 0)
+        nodes = counts.groupBy(context).agg(
+            F.collect_list(F.struct(symbol, "times")).alias("kept")
         )
         missed = _after(missed, nodes, d)
     # Symbols the root has not seen share its escape evenly
@@ -385,7 +363,6 @@ def score(
     key: str = "doc_id",
     text: str = "text",
     order: int = ORDER,
-    most_nodes: int | None = None,
     most_head: int = MOST_HEAD,
     folds: int = 7,
     held: int = 2,
@@ -401,7 +378,7 @@ def score(
         (F.crc32(name) % folds == held).alias("held_out"),
     )
     learning = rows.where("NOT held_out").select("text")
-    known = shares(rows.select("text", "held_out"), order, most_nodes)
+    known = shares(rows.select("text", "held_out"), order)
     symbols = known.agg(F.sum("seen")).first()[0] or 0
     # At most most_keys rows
     often = known.where(F.col("seen") * most_keys >= symbols).select("key", "share").toArrow()
@@ -427,13 +404,11 @@ def score(
         rows.mapInArrow(
             lambda b: score_batches(b, order, *trie.value, *head.value, end_log),
             "id long, row_key long, held_out boolean, n_tokens long, n_known long, "
-            "base_sum double, score double",
+            "base_sum double, score double, "
+            "rest array<struct<is_word: boolean, key: long, times: int>>",
         )
     )
-    tail = rows.select("text", "row_key").mapInArrow(
-        lambda b: tail_batches(b, order, trie.value[0], head.value[0]),
-        "is_word boolean, key long, row_key long, times int",
-    )
+    tail = scored.select("row_key", F.inline("rest"))
     values = vocabulary.select(
         F.lit(True).alias("is_word"), "key", F.log10(F.col("times") + 1).alias("value")
     ).unionAll(
