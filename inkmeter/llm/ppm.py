@@ -51,7 +51,8 @@ SYMBOLS = 257
 BITS = 9
 LOG10 = float(np.log(10.0))
 FLUSH = 1 << 21
-PIECE = 4 << 20
+# Arrays of eight bytes a letter stay in a core's cache
+PIECE = 1 << 19
 
 
 def symbols_of(column: pa.Array, words: Words, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +69,7 @@ def symbols_of(column: pa.Array, words: Words, order: int) -> tuple[np.ndarray,
     text = text[np.cumsum(edge[: len(data)], dtype=np.int8) > 0]
     sizes = np.bincount(row, weights=words.ends - words.starts + more, minlength=rows)
     sizes = sizes.astype(np.int64)
-    out = np.full(len(text) + rows * (order + 1), START, dtype=np.int64)
+    out = np.full(len(text) + rows * (order + 1), START, dtype=np.int16)
     text_row = np.repeat(np.arange(rows), sizes)
     out[np.arange(len(text)) + text_row * (order + 1) + order] = text
     ends = np.cumsum(sizes + order + 1) - 1
@@ -79,10 +80,12 @@ def symbols_of(column: pa.Array, words: Words, order: int) -> tuple[np.ndarray,
 def keys_of(symbols: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Where symbols other than start marks stand, and each with its context as one number."""
     at = np.flatnonzero(symbols != START)
-    key = np.zeros(len(at), dtype=np.int64)
-    for back in range(order, -1, -1):
-        key = (key << BITS) | symbols[at - back]
-    return at, key
+    # Windows ending at each place from ``order`` on; no other symbol stands before
+    key = symbols[: max(0, len(symbols) - order)].astype(np.int64)
+    for begin in range(1, order + 1):
+        key <<= BITS
+        key |= symbols[begin : begin + len(key)]
+    return at, key[at - order]
 
 
 class Tally:
