@@ -329,10 +329,44 @@ def test_base_spans_equal_brute_force_and_stay(spark):
     texts = {i: t or "" for i, t, _ in rows}
     for r in got:
         assert set(brute_spans(texts[r.doc_id])) <= set(r.spans.split(","))
-    hidden = pii.redact(pii.Finder(df).spans(df)).where("doc_id IN (2, 5)").orderBy("doc_id")
+    described = pii.describe(df)
+    hidden = pii.redact(pii.Finder(described).spans(described)).where("doc_id IN (2, 5)").orderBy("doc_id")
     mail = hidden.first().redacted
     assert mail.startswith("[email][email] ab@[email] x@y. é😀 [email], ")
 
 
+def test_disguised_spans_are_added_and_other_numbers_are_not(spark):
+    """Beside plain addresses and numbers, and beside groups of digits that are neither."""
+    rng = random.Random(5)
+
+    def word():
+        return "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9)))
+
+    def some(n):
+        return " ".join(word() for _ in range(n))
+
+    rows, want = [], []
+    for i in range(600):
+        mail = f"{word()}.{word()} [at] {word()} [dot] org"
+        phone = f"{rng.randint(200, 999)} {rng.randint(100, 999)} {rng.randint(1000, 9999)}"
+        begin = some(6) + " "
+        text = begin + mail + (middle := f" {some(4)} ") + phone + f" {some(3)} {word()}@{word()}.com"
+        at = len(begin) + len(mail) + len(middle)
+        rows.append((i, text))
+        want.append({f"email:{len(begin)}:{len(begin + mail)}", f"phone:{at}:{at + len(phone)}"})
+    table_rows = [" ".join(str(rng.randint(100, 999)) for _ in range(12)) for _ in range(200)]
+    table_rows += [f"{some(3)} {rng.randint(100, 999)} 456 7890 1234 {some(2)} {word()} [at] {word()}" for _ in range(200)]
+    table_rows += [f"{some(2)} version 300.1.2.999 {some(2)}" for _ in range(100)]
+    rows += [(1000 + i, t) for i, t in enumerate(table_rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in pii.mark_personal(df).collect()}
+    caught = sum(len(w & set(got[i].spans.split(","))) for i, w in enumerate(want))
+    assert caught >= 0.9 * 2 * len(want)
+    assert sum(got[i].n_added for i in range(600)) <= caught / pii.PRECISION
+    assert all(got[i].n_email == 1 and got[i].n_phone == 0 for i in range(600))
+    assert sum(got[1000 + i].n_added for i in range(len(table_rows))) <= 0.05 * caught
+    assert all(r.n_generated >= r.n_added for r in got.values())
+
+
 def test_no_personal_data_in_an_empty_table(empty):
     assert pii.mark_personal(empty).count() == 0
