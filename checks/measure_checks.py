@@ -9,7 +9,7 @@ from checks.duck import FWORD_SQL, MARK_SQL, MEASURE_PARTS, SINGLE, key, oracle,
 from inkmeter import fixed_values as fixed
 from inkmeter.operators import declared, metrics, quality
 from inkmeter.operators import tokens as tok
-from inkmeter.plans import marts, reports, staging, star
+from inkmeter.plans import marts, moments, reports, staging, star
 from inkmeter.plans.declared_checks import DECLARED
 from inkmeter.sources.lookups import metric_concepts
 
@@ -415,8 +415,25 @@ def zscore_window(spark, sf_dir):
     return b.rounded(scored, "zscore")
 
 
+def zscore_refreshed(spark, sf_dir):
+    """z-scores from statistics of the day before, brought up to date by what changed."""
+    now = b.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    # The day before: some rows had another value, some are new since, some have gone since
+    other = F.when(F.col("event_id") % 11 == 0, F.col("value") * 2 + 1).otherwise(F.col("value"))
+    departed = now.where("event_id % 13 = 0").select(
+        (-1 - F.col("event_id")).alias("event_id"), "event_type", (F.col("value") + 100).alias("value")
+    )
+    before = now.where("event_id % 7 <> 0").withColumn("value", other).unionByName(departed)
+    kept = moments.moments(before, "value", "event_type")
+    gone, come = before.exceptAll(now), now.exceptAll(before)
+    kept = moments.refreshed(kept, gone, come, now, "value", "event_type")
+    scored = moments.zscore_of(now, "value", "event_type", kept)
+    return b.rounded(scored.select("event_id", "event_type", "zscore"), "zscore")
+
+
 add("zscore", zscore, _ZSCORE)
 add("zscore_window", zscore_window, _ZSCORE)
+add("zscore_refreshed", zscore_refreshed, _ZSCORE)
 
 # --- Reports ------------------------------------------------------------------------------------
 

@@ -9,7 +9,7 @@ from inkmeter import fixed_values as fixed
 from inkmeter.functions import catalog as c
 
 
-def _standardised(value: Column, mean: Column, spread: Column) -> Column:
+def standardised(value: Column, mean: Column, spread: Column) -> Column:
     """Null where the series does not vary."""
     return (value - mean) / F.nullif(spread, F.lit(0.0))
 
@@ -26,7 +26,7 @@ def zscore(df: DataFrame, value: str, series: str, into: str = "zscore") -> Data
     )
     return (
         df.join(stats, F.col(series).eqNullSafe(F.col("_series")), "left")
-        .withColumn(into, _standardised(x, F.col("_mean"), F.col("_spread")))
+        .withColumn(into, standardised(x, F.col("_mean"), F.col("_spread")))
         .drop("_series", "_mean", "_spread")
     )
 
@@ -34,7 +34,7 @@ def zscore(df: DataFrame, value: str, series: str, into: str = "zscore") -> Data
 def zscore_window(value: str, series: str) -> Column:
     """The same as a window expression: one sort per series."""
     x, whole = F.col(value).cast("double"), Window.partitionBy(series)
-    return _standardised(x, F.avg(x).over(whole), F.stddev_pop(x).over(whole))
+    return standardised(x, F.avg(x).over(whole), F.stddev_pop(x).over(whole))
 
 
 def mart_style_long(
