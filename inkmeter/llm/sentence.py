@@ -56,7 +56,7 @@ MAYBE_BITS = 20
 PAIR_BITS = 20
 #: What a normaliser would change: ligature, fraction, full width, case, spaces, composition
 PROBE = "  \ufb01 \u00bd \uff21 Bb  e\u0301 "
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 
 def _leading(hashes: np.ndarray) -> np.ndarray:
