@@ -4,25 +4,26 @@ Base spans are found by pattern and arithmetic and always stay.  Further
 candidates come from generators of high recall whose spans may overlap: split
 or disguised addresses, digit groups a base pattern swallowed or cut.  Gradient
 boosted trees score a candidate by its format and its context.  They learn from
-a bounded sample of candidates, labelled by evidence that no feature shows: a
+half of all candidates, labelled by evidence that no feature shows: a
 host that ends in letters, octets in range, the check sum, an area code's first
 digit.  Numbers that are none of these pass such tests at a known rate only, so
 the share that passes tells what a format in a context stands for.  Whether a base span covers a candidate plays no part,
 so what only a generator finds is right or wrong by the same measure.  On the
-other half of the sample, each kind's threshold is set to the lowest score down
+other half, each kind's threshold is set to the lowest score down
 to which each band of scores is right often enough; a span is added where its score
 reaches that and the evidence speaks for it too.  The fitted trees become one
 column expression, so scoring, like everything on a text, is done within its
 row: nothing moves, and no Python runs on the executors.  Texts are searched
-once; what was found is written down, then sampled and scored.
+once; what was found is written down, then counted and scored.
 
 Positions count code points.  They are running sums over the pieces between
 matches, added up in blocks, so that a text full of numbers stays cheap.
 Patterns use possessive repeats and fixed starting places, so that long runs
 of one sign are read once.
 
-Bounds: at most ``sample_rows`` candidates (those of the smallest hash) fit and
-calibrate.
+Bounds: every candidate fits or calibrates.  Candidates of equal features and
+evidence are one weighted row, so the trees read distinct formats, not texts;
+what the driver sees is one count for each score that the trees give.
 
 Cases: null text is empty and has no spans.  Null ids and repeated rows are
 rows like others.  An empty table, or one where candidates are all wrong, adds
@@ -77,7 +78,6 @@ FEATURES = (
 SPANS = (
     "array<struct<start:bigint,kind:int,end:bigint,match:string,before:string,after:string>>"
 )
-SAMPLE_ROWS = 8192
 TREES, DEPTH, SEED = 12, 3, 17
 PRECISION = 0.95
 BAND = 64
@@ -319,43 +319,55 @@ class Finder:
     def __init__(
         self,
         described: DataFrame,
-        sample_rows: int = SAMPLE_ROWS,
         precision: float = PRECISION,
     ) -> None:
         self.trees: list[tuple[float, object]] = []
         self.thresholds: dict[int, float] = {}
         names = [f"f_{n}" for n in FEATURES]
         place = F.xxhash64("text_hash", "start", "kind", "end")
-        sample = stage(
+        # Every candidate counts: those that look alike are one row and their number
+        counted = stage(
             described.select("text_hash", F.inline("candidates"))
-            .select(*names, F.col("right").cast("double").alias("label"), place.alias("place"))
-            .orderBy("place", *names, "label")
-            .limit(sample_rows)
-            .withColumn("fits", F.pmod("place", F.lit(2)) == 0)
-            .coalesce(1)
+            .select(
+                *names,
+                F.col("right").cast("double").alias("label"),
+                (F.pmod(place, F.lit(2)) == 0).alias("fits"),
+            )
+            .groupBy(*names, "label", "fits")
+            .agg(F.count("*").cast("double").alias("rows"))
+            .sort(*names, "label")
         )
-        fitting = sample.where("fits")
+        fitting = counted.where("fits")
         # Trees need both labels; without them all candidates have one score
         if fitting.select("label").distinct().count() == 2:
             vectors = VectorAssembler(inputCols=names, outputCol="features").transform(fitting)
             model = GBTClassifier(
-                featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED
+                featuresCol="features",
+                labelCol="label",
+                weightCol="rows",
+                maxIter=TREES,
+                maxDepth=DEPTH,
+                seed=SEED,
             ).fit(vectors)
             self.trees = [
                 (float(w), t._call_java("rootNode"))
                 for w, t in zip(model.treeWeights, model.trees, strict=True)
             ]
         span = F.struct(*[F.col(n) for n in names])
-        scored = sample.where("NOT fits").select(
-            F.col("f_kind").cast("int").alias("kind"), self.probability(span).alias("p"), "label"
+        scored = counted.where("NOT fits").select(
+            F.col("f_kind").cast("int").alias("kind"),
+            self.probability(span).alias("p"),
+            "rows",
+            (F.col("rows") * F.col("label")).alias("right"),
         )
         by_score = scored.groupBy("kind", "p").agg(
-            F.count("*").alias("rows"), F.sum("label").alias("right")
+            F.sum("rows").alias("rows"), F.sum("right").alias("right")
         )
-        # As many rows as distinct scores of the bounded sample
+        # The trees are few and shallow: as many rows as distinct scores they give
         scores: dict[int, list] = {}
         for r in by_score.collect():
             scores.setdefault(r["kind"], []).append((r["p"], r["rows"], r["right"]))
+        self.calibrated = int(sum(n for values in scores.values() for _, n, _ in values))
         for kind, values in scores.items():
             # Band by band, so that many sure ones do not vouch for a doubtful format
             rows = right = 0.0
