@@ -116,20 +116,32 @@ class Fingerprinter:
             f"{out}_band", F.coalesce(f"{out}_found", F.array().cast("array<bigint>"))
         )
 
-    def _one(self, used: Column, whole: Column, i: int) -> Column:
-        """The hash of the terms in lexicon i."""
-        mask = F.lit((1 << self.lexicon_bits[i]) - 1)
-
-        def member(term: Column) -> Column:
-            return F.xxhash64(term, F.lit(self.seed + i)).bitwiseAND(mask) == 0
-
-        # An array of one binds the terms, or they would be filtered twice
-        return F.transform(
-            F.array(F.filter(used, member)),
-            lambda held: F.when(F.size(held) > 0, F.xxhash64(held)).otherwise(
-                F.xxhash64(whole, F.lit(i))
-            ),
-        )[0]
+    def _hashes(self, used: Column, whole: Column) -> Column:
+        """The hash of the terms in each lexicon; one expression serves them all."""
+        lexicons = F.array(
+            *[
+                F.struct(
+                    F.lit((1 << bits) - 1).cast("long").alias("mask"),
+                    F.lit(self.seed + i).alias("seed"),
+                    F.lit(i).alias("i"),
+                )
+                for i, bits in enumerate(self.lexicon_bits)
+            ]
+        )
+
+        def one(lexicon: Column) -> Column:
+            def member(term: Column) -> Column:
+                return F.xxhash64(term, lexicon["seed"]).bitwiseAND(lexicon["mask"]) == 0
+
+            # An array of one binds the terms, or they would be filtered twice
+            return F.transform(
+                F.array(F.filter(used, member)),
+                lambda held: F.when(F.size(held) > 0, F.xxhash64(held)).otherwise(
+                    F.xxhash64(whole, lexicon["i"])
+                ),
+            )[0]
+
+        return F.transform(lexicons, one)
 
     def columns(self, df: DataFrame, text: str, out: str) -> DataFrame:
         """The rows with ``out``: the series' hashes as an array of longs."""
@@ -147,11 +159,8 @@ class Fingerprinter:
         )
 
         used = used.withColumn(f"{out}_whole", F.xxhash64(f"{out}_used"))
-        hashes = [
-            self._one(F.col(f"{out}_used"), F.col(f"{out}_whole"), i)
-            for i in range(len(self.lexicon_bits))
-        ]
-        return used.withColumn(out, F.array(*hashes)).select(*df.columns, out)
+        hashes = self._hashes(F.col(f"{out}_used"), F.col(f"{out}_whole"))
+        return used.withColumn(out, hashes).select(*df.columns, out)
 
 
 def as_text(fingerprint: Column) -> Column:
