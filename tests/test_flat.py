@@ -4,6 +4,7 @@ import contextlib
 import io
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from checks import bindings
@@ -37,6 +38,28 @@ def odd_parse(spark, works=30):
     return spark.createDataFrame(rows, tok.PARSED_COLUMNS)
 
 
+def test_plain_spellings_are_not_asked_about_one_by_one(monkeypatch):
+    odd = ["", "Wolf", "wolf9", "İs", "ΟΔΟΣ", "word\n", "word\r\n", "é", "a b", "'s", "\n", "²", "ª", "ǅ", "\u0301"]
+    plain = [f"W{chr(65 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(600)]
+    values = pa.array(odd + plain, pa.string())
+    assert flat.words(values).tolist() == [flat.is_word(v) for v in odd + plain]
+    for of in (flat.fold, str.lower):
+        assert flat.lowered(values, of).to_pylist() == [of(v) for v in odd + plain]
+    asked = []
+    is_word = flat.is_word
+    monkeypatch.setattr(flat, "is_word", lambda v: asked.append(v) or is_word(v))
+    row = (["w"], [0], [1], [0], [""], [[[{"text": t, "lemma": t, "pos": "NOUN"} for t in odd + plain + [None]]]])
+    token = pa.struct([(n, {"stop": pa.bool_(), "head": pa.int32()}.get(n, pa.string())) for n in bindings.TOKEN_FIELDS])
+    types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.list_(token))]
+    names = ["work_id", "unit_no", "units", "entry", "text", "sents"]
+    batch = pa.record_batch([pa.array(v, t) for v, t in zip(row, types, strict=True)], names)
+    (out,) = tok.described_batches(iter([batch]))
+    got = {t["token"]: (t["n"], t["alpha"]) for t in out.column("types").to_pylist()[0]}
+    folded = [flat.fold(v) for v in odd + plain]
+    assert got == {v: (folded.count(v), is_word(v)) for v in folded}
+    assert not set(asked) & set(plain) and len(asked) < 3 * len(odd)
+
+
 def test_flat_tokens_agree_with_the_expressions_on_odd_parses(spark):
     parsed = odd_parse(spark)
     got = {r.work_id: r for r in tok.describe(parsed).collect()}
