@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding, by batched numpy lattices.
 
 A text becomes units: white space marks and the signs up to the next mark.
-Distinct units of a batch are sorted by length, and units of equal length
-advance together, one position at a time.  For each position every substring
+Distinct units of a batch are sorted by length and advance together, one
+position at a time; a unit takes part up to its own length.  For each position every substring
 that ends there is hashed from running sums and, where a bitmap of leading bits
 says it may be a piece, looked up among the sorted hashes of all pieces; the
 best candidate's length is stored as a backpointer, and the pieces are read off
@@ -52,6 +52,7 @@ CACHE = 1 << 18
 SPREAD = np.uint64(0xD1B54A32D192ED03)
 NO_LIMIT = np.int64(1 << 40)
 LONG = 64  # signs of a unit that is cut
+BLOCK = 1 << 17  # places of units that advance together
 MAYBE_BITS = 20
 PAIR_BITS = 20
 #: What a normaliser would change: ligature, fraction, full width, case, spaces, composition
@@ -92,7 +93,7 @@ class Vocabulary:
     powers: np.ndarray  # of the base, up to the longest piece
     maybe: np.ndarray  # by leading bits of a hash: some piece has them,
     first: np.ndarray  # the first hash that has them or more,
-    deepest: int  # and the most that share them
+    more: np.ndarray  # by number: the next hash shares them
     inner: np.ndarray  # sorted pairs of signs that stand side by side in some piece
     data: np.ndarray  # bytes of all pieces by id, end to end
     begins: np.ndarray
@@ -100,11 +101,16 @@ class Vocabulary:
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The number of the piece of each hash, or -1."""
         at = self.first[_leading(hashes)]
-        out = np.full(len(hashes), -1, dtype=np.int64)
-        for _ in range(self.deepest):
-            here = np.flatnonzero(self.hashes[at] == hashes)
-            out[here] = at[here]
-            at = np.minimum(at + 1, len(self.hashes) - 1)
+        found = self.hashes[at] == hashes
+        out = np.where(found, at, np.int64(-1))
+        left = np.flatnonzero(~found & self.more[at])
+        at = at[left]
+        while len(left):
+            at = at + 1
+            found = self.hashes[at] == hashes[left]
+            out[left[found]] = at[found]
+            on = ~found & self.more[at]
+            left, at = left[on], at[on]
         return out
 
 
@@ -185,7 +191,7 @@ def load(path: str) -> Vocabulary:
         unigram, plain[0].startswith(MARK), hashes[order], np.array(normal)[order], scores[order],
         np.round(-scores[order]).astype(np.int64), lengths, left, right, usable,
         int(lengths.max()), byte_ids, _powers(int(lengths.max())), maybe,
-        first.astype(np.int32), int(np.bincount(leading).max()), inner,
+        first.astype(np.int32), np.append(leading[1:] == leading[:-1], False), inner,
         np.frombuffer(b"".join(shown), dtype=np.uint8), begins,
     )
 
@@ -248,23 +254,29 @@ def _powers(n: int) -> np.ndarray:
     return out
 
 
-def encode_equal(
-    v: Vocabulary, points: np.ndarray, borders: Borders
+def encode_sorted(
+    v: Vocabulary, points: np.ndarray, lengths: np.ndarray, borders: Borders
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of units of one length, end to end, and how many each unit has."""
-    n, length = points.shape
-    sums = np.zeros((length + 1, n), dtype=np.uint64)
-    last = np.full((length + 1, n), -1, dtype=np.int32)
-    back = np.ones((length + 1, n), dtype=np.int32)
-    total = np.zeros((length + 1 if v.unigram else 1, n))
+    """Ids of units, longest first, end to end, and how many each unit has.
+
+    ``points`` holds a unit a row; what stands behind a unit's end is not read.
+    """
+    whole, length = points.shape
+    # The units that reach a position are the first ones
+    reach = np.searchsorted(-lengths, -np.arange(length + 1), side="right").tolist()
+    sums = np.zeros((length + 1, whole), dtype=np.uint64)
+    last = np.full((length + 1, whole), -1, dtype=np.int32)
+    back = np.ones((length + 1, whole), dtype=np.int32)
+    total = np.zeros((length + 1 if v.unigram else 1, whole))
     least = v.scores.min() - 10
     signs = points.T.astype(np.uint64) + np.uint64(1)
     for j in range(1, length + 1):
-        most = min(j, v.longest)
+        most, n = min(j, v.longest), reach[j]
         with np.errstate(over="ignore"):
-            sums[j] = sums[j - 1] * BASE + signs[j - 1]
+            sums[j, :n] = sums[j - 1, :n] * BASE + signs[j - 1, :n]
             # Row s holds the substrings of s + 1 signs that end here
-            hashes = (sums[j] - sums[j - most : j][::-1] * v.powers[1 : most + 1, None]).ravel()
+            begun = sums[j - most : j, :n][::-1] * v.powers[1 : most + 1, None]
+            hashes = (sums[j, :n] - begun).ravel()
         at = np.flatnonzero(v.maybe[_leading(hashes)])
         number = v.find(hashes[at])
         fits = (number >= 0) & v.usable[number]
@@ -272,7 +284,7 @@ def encode_equal(
         size, row = at // n + 1, at % n
         if v.unigram:
             # A sign without a piece is always a way on
-            total[j] = total[j - 1] + least
+            total[j, :n] = total[j - 1, :n] + least
             score = v.scores[number] + total[j - size, row]
             fits = score > total[j][row]
         else:
@@ -289,7 +301,7 @@ def encode_equal(
             total[j, row] = score[order]
     # Read off from the end, all units a piece at a time
     rows, places, values = [], [], []
-    row, at = np.arange(n), np.full(n, length)
+    row, at = np.arange(whole), lengths
     while len(row):
         number = last[at, row]
         rows.append(row)
@@ -309,7 +321,7 @@ def encode_equal(
         times[bare] = [len(x) for x in signs]
         row, value = np.repeat(row, times), np.repeat(value, times)
         value[value < 0] = np.concatenate(signs)
-    return value.astype(np.int32), np.bincount(row, minlength=n)
+    return value.astype(np.int32), np.bincount(row, minlength=whole)
 
 
 class Encoder:
@@ -326,20 +338,24 @@ class Encoder:
         self.counts = np.zeros(0, dtype=np.int64)
 
     def _learn(self, units: set[str]) -> None:
-        by_length: dict[int, list[str]] = {}
-        for u in units:
-            by_length.setdefault(len(u), []).append(u)
+        if not units:
+            return
+        ordered = sorted(units, key=len, reverse=True)
+        sizes = np.fromiter(map(len, ordered), np.int64, len(ordered))
         ids, counts = [self.ids], [self.counts]
-        for length, group in by_length.items():
-            step = max(1, (1 << 16) // length)
-            for at in range(0, len(group), step):
-                block = group[at : at + step]
-                data = "".join(block).encode("utf-32-le", "surrogatepass")
-                points = np.frombuffer(data, dtype=np.uint32).reshape(len(block), length)
-                found, number = encode_equal(self.v, points, self.borders)
-                ids.append(found)
-                counts.append(number)
-                self.known.update(zip(block, range(len(self.known), len(self.known) + len(block)), strict=True))
+        at = 0
+        while at < len(ordered):
+            length = int(sizes[at])
+            block = ordered[at : at + max(1, BLOCK // length)]
+            lengths = sizes[at : at + len(block)]
+            data = "".join(block).encode("utf-32-le", "surrogatepass")
+            points = np.zeros((len(block), length), dtype=np.uint32)
+            points[np.arange(length) < lengths[:, None]] = np.frombuffer(data, dtype=np.uint32)
+            found, number = encode_sorted(self.v, points, lengths, self.borders)
+            ids.append(found)
+            counts.append(number)
+            self.known.update(zip(block, range(len(self.known), len(self.known) + len(block)), strict=True))
+            at += len(block)
         self.ids, self.counts = np.concatenate(ids), np.concatenate(counts)
 
     def _cut(self, units: list[str]) -> list[str]:

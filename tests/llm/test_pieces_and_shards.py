@@ -39,6 +39,25 @@ def test_ids_equal_the_library(spark, library):
     assert sentence.with_ids(df.limit(0), piece_file()).count() == 0
 
 
+def test_units_of_different_lengths_advance_together(library, monkeypatch):
+    calls = []
+    plain = sentence.encode_sorted
+
+    def counted(v, points, lengths, borders):
+        calls.append(points.shape)
+        return plain(v, points, lengths, borders)
+
+    monkeypatch.setattr(sentence, "encode_sorted", counted)
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeé日 ", k=n)).replace(" ", "x") for n in range(1, 60)]
+    encoder = sentence.Encoder(sentence.load(piece_file()))
+    for text in (" ".join(words), " ".join(words[::-1]), "a " + "b" * 63):
+        ids, sizes = encoder.encode([text, None])
+        assert ids.tolist() == library.encode(text) and sizes.tolist() == [len(ids), 0]
+    # The words of all lengths take one call; before, each length took its own
+    assert len(calls) <= 3 and calls[0][0] >= 59
+
+
 def test_endless_units_and_ids_that_are_no_text(spark, library):
     rng = random.Random(2)
     signs = [chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3000)]
