@@ -101,6 +101,33 @@ def test_a_parse_described_where_it_is_made_measures_as_a_written_one(spark):
     )
 
 
+def test_units_added_up_where_they_are_parsed_measure_as_described_ones(spark, monkeypatch):
+    rng = random.Random(11)
+    words = "the wolves walked. \" It 'isn''t' here! ” “ thou thee -- ; upon\n\n and they'll ... 12 ore ß İ der’s".split(" ")
+    texts = [(f"w{i}", " ".join(rng.choices(words, k=rng.randint(0, 60)))) for i in range(20)] + [("null", None)]
+    units = tok.text_units(spark.createDataFrame(texts, "work_id string, text string"), max_chars=90)
+    described, summed = bindings.rule_described(units), bindings.rule_summed(units)
+    one = metrics.measure_wide(tok.described_view(described)).collect()
+    other = metrics.measure_wide(tok.summed_view(summed)).collect()
+    assert len(one) == 21 and sorted(map(tuple, one)) == sorted(map(tuple, other))
+    terms = [sorted(map(tuple, metrics.described_vocabulary(d).collect())) for d in (described, summed)]
+    assert terms[0] and terms[0] == terms[1]
+    # The types of a work of one unit were read by lambdas, one by one; now they do not leave the task
+    assert summed.filter("units = 1 AND size(types) > 0").count() == 0
+    assert summed.filter("units > 1 AND size(types) > 0").count() > 0
+    monkeypatch.setattr(metrics, "unit_sums", None)
+    assert metrics.measure_wide(tok.summed_view(summed)).count() == 21
+
+
+def test_odd_parses_are_added_up_alike_and_a_sum_of_ones_own_is_kept(spark):
+    parsed = odd_parse(spark)
+    reg = metrics.builtin_registry(function_words=("wolf", "a b"))
+    reg.register("long_rate", F.col("long").cast("double"), token_sums={"long": lambda t: F.when(F.length(t["token"]) > 3, t["n"])})
+    one = metrics.measure_wide(tok.parsed_view(parsed), reg).collect()
+    other = metrics.measure_wide(tok.summed_view(metrics.summed(parsed, registry=reg)), reg).collect()
+    assert sum(r.long_rate for r in one) > 0 and sorted(map(tuple, one)) == sorted(map(tuple, other))
+
+
 def test_no_token_meets_a_lambda_and_no_term_a_join(spark):
     """What made the build's time: expressions over nested tokens, and a join of every term."""
     parsed = odd_parse(spark)
