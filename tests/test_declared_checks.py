@@ -58,6 +58,31 @@ def test_a_table_is_scanned_at_most_three_times(spark, tmp_path):
     assert plan.count("Relation [k#") <= 3
 
 
+def test_keys_stay_numbers_and_meet_their_parents_without_a_join(spark):
+    """A related column that is unique too is counted once, beside its parent's keys."""
+    parents = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id bigint")
+    # 2 is held twice, 7 and 9 have no parent, 9 twice; a null is no key but in a whole row
+    held = [(1, 1, 1), (2, 2, 1), (2, 2, 7), (7, 7, None), (9, 9, 1), (9, None, 1), (None, None, 1), (None, None, 1)]
+    rows = spark.createDataFrame(held, "p bigint, q int, up bigint")
+    given = {"rows": rows, "parents": parents}
+    checks = {
+        "rows": [
+            *d.related("p", "parents", "id"), d.unique("p"), d.unique_together("p", "q"), d.unique("q"),
+            *d.related("up", "rows", "p"), d.unique_together("q"),
+        ],
+        "parents": [d.unique("id")],
+    }
+    result = d.run_declared(given, checks)
+    got = {(r.table_name, r.check_name): r.violations for r in result.collect()}
+    assert got == {
+        ("rows", "not_null p"): 2, ("rows", "related p"): 3, ("rows", "unique p"): 2,
+        ("rows", "unique_together p, q"): 2, ("rows", "unique q"): 1, ("rows", "not_null up"): 1,
+        ("rows", "related up"): 0, ("rows", "unique_together q"): 2, ("parents", "unique id"): 1,
+    }
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "cast(p#" not in plan
+
+
 def test_a_hot_key_is_combined_before_it_moves(spark):
     hot = spark.range(100_000, numPartitions=4).select(F.lit(1).alias("k"))
     result = d.run_declared({"hot": hot}, {"hot": [d.unique("k")]})
