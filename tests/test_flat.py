@@ -7,10 +7,11 @@ import random
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from checks import bindings
+from checks import all_checks, bindings
 from inkmeter import fixed_values as fixed
 from inkmeter.operators import flat, metrics
 from inkmeter.operators import tokens as tok
+from inkmeter.sources import tables
 
 
 def plan_of(df):
@@ -101,6 +102,27 @@ def test_a_parse_described_where_it_is_made_measures_as_a_written_one(spark):
     )
 
 
+def test_terms_are_counted_where_they_are_parsed(spark, monkeypatch, tmp_path):
+    rng = random.Random(5)
+    words = "the wolves walked. \" It 'isn''t' here! ” “ more gently\n\n and they'll upon 12 ore ß İ".split(" ")
+    texts = [(f"w{i}", " ".join(rng.choices(words, k=rng.randint(0, 60)))) for i in range(20)] + [("null", None)]
+    units = tok.text_units(spark.createDataFrame(texts, "work_id string, text string"), max_chars=90)
+    want = sorted(map(tuple, metrics.vocabulary(bindings.rule_parse(units)).collect()))
+    tokens, parser = bindings.rule_tokens(units), bindings.annotated_batches
+    kept = []
+
+    def keep(terms):
+        kept.append(tables.stage_table(terms, str(tmp_path / "terms")))
+        return kept[-1]
+
+    assert want and sorted(map(tuple, metrics.vocabulary(tokens, parser).collect())) == want
+    assert sorted(map(tuple, metrics.vocabulary(tokens, parser, keep).collect())) == want
+    # A unit's terms are all that is written, and the check does not write the parse either
+    assert [k.columns for k in kept] == [["work_id", "units", "terms"]]
+    monkeypatch.setattr(bindings, "parsed", None)
+    assert all_checks()["vocab_terms"](spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_units_added_up_where_they_are_parsed_measure_as_described_ones(spark, monkeypatch):
     rng = random.Random(11)
     words = "the wolves walked. \" It 'isn''t' here! ” “ thou thee -- ; upon\n\n and they'll ... 12 ore ß İ der’s".split(" ")
